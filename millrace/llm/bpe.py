@@ -27,6 +27,8 @@ from millrace.llm.common import passes, utf8
 
 #: Pieces whose result a worker keeps; the cache is emptied when it is full.
 CACHE_PIECES = 400_000
+#: Above every rank.
+NO_RANK = 1 << 62
 #: Longer pieces are merged with a heap.
 SHORT_PIECE = 64
 
@@ -61,7 +63,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     if len(piece) > SHORT_PIECE:
         return _merge_long(piece, ranks)
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    none = len(ranks) + 256
+    none = NO_RANK
     get = ranks.get
     waits = [get(a + b, none) for a, b in pairwise(parts)]
     while waits:
