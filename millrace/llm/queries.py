@@ -8,10 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language_id, packing, token_counts
+from millrace.llm import bpe, language_id, packing, rule_ensemble, simhash, token_counts
 from millrace.llm.common import fold, table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op4_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = rule_ensemble.fit(docs, labels.where(fold("doc_id", 5) != 0), "quality")
+    return rule_ensemble.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -33,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_byte_bpe, op7_token_counts, op8_language_id, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op4_rule_ensemble, op5_byte_bpe, op7_token_counts, op8_language_id, op10_packing)}
 ORACLES: dict[str, str] = {}
 
 
