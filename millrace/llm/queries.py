@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language_id, packing, repetition, rule_ensemble, simhash, token_counts, topk
+from millrace.llm import bpe, html_content, language_id, packing, repetition, rule_ensemble, simhash, token_counts, topk
 from millrace.llm.common import fold, table
 
 
@@ -49,11 +49,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_content.extract(pages, html_content.fit(pages))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op3_repetition, op4_rule_ensemble, op5_byte_bpe, op6_topk, op7_token_counts, op8_language_id, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op3_repetition, op4_rule_ensemble, op5_byte_bpe, op6_topk, op7_token_counts, op8_language_id, op9_html_content, op10_packing)}
 ORACLES: dict[str, str] = {
     "op6_topk": """
 WITH usable AS (
