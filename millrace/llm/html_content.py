@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 SAMPLE_PAGES, SAMPLE_CHARS = 400, 50_000
 
 #: Strength of the penalties on the weights of features and, for each labelled box, on the pair potentials.
-RIDGE, COUPLING_RIDGE = 0.05, 0.008
+RIDGE, COUPLING_RIDGE = 0.05, 0.0055
 
 # Element names of the HTML standard, by what they mean for text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
