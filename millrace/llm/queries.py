@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, html_content, language_id, packing, repetition, rule_ensemble, simhash, token_counts, topk
+from millrace.llm import bpe, html_content, language_id, ngram_lm, packing, repetition, rule_ensemble, simhash, token_counts, topk
 from millrace.llm.common import fold, table
 
 
@@ -16,6 +16,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 10) == 0
+    model = ngram_lm.fit(docs.where(~held_out))
+    scored = ngram_lm.score(docs.select("doc_id", "text", held_out.alias("held_out")), model, keep=("doc_id", "held_out"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(table(spark, sf_dir, "documents"))
 
@@ -58,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op3_repetition, op4_rule_ensemble, op5_byte_bpe, op6_topk, op7_token_counts, op8_language_id, op9_html_content, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op2_ngram_lm, op3_repetition, op4_rule_ensemble, op5_byte_bpe, op6_topk, op7_token_counts, op8_language_id, op9_html_content, op10_packing)}
 ORACLES: dict[str, str] = {
     "op6_topk": """
 WITH usable AS (
