@@ -12,20 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import language_id, packing, rule_ensemble, simhash
-from millrace.llm.common import ensure_checkpoint_dir, fold, table
+from millrace.llm.common import ensure_checkpoint_dir, fold, fresh, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear."""
     learned = language_id.fit(language_id.training(docs, fold("doc_id", 5) == 0))
-    return language_id.predict(docs, learned, names=("_lang", "_score", "_accepted")).where("_accepted").select(docs.columns)
+    names = fresh(docs, "lang_pred", "lang_score", "lang_accepted")
+    return language_id.predict(docs, learned, names=names).where(F.col(names[2])).select(docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules take for good."""
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
     model = rule_ensemble.fit(docs, labels, "quality")
-    return rule_ensemble.predict(docs, model).where("predicted = 1").select(docs.columns)
+    score = rule_ensemble.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    return score.where("predicted = 1").select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

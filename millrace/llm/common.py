@@ -24,6 +24,17 @@ def fold(doc_id: str | Column, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string")) % n, F.lit(0))
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each made longer until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return tuple(out)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the session's, or a new one where it has none (a single machine)."""
     have = spark.conf.get("spark.checkpoint.dir", None)

@@ -147,6 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", key:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs with ``score`` and ``predicted``."""
-    measured, names = statistics(docs.drop("score", "predicted"), text)
-    scored = measured.withColumn("score", model.score()).drop(*names)
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    row = F.col("_row")
+    measured, _ = statistics(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text")), "_text")
+    scored = measured.select("_row", model.score().alias("_score"))
+    kept = [row.getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")]
+    return scored.select(*kept, F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))

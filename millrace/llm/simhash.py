@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import checkpoint, passes, utf8
+from millrace.llm.common import checkpoint, fresh, passes, utf8
 
 SHINGLE_WORDS, HASH_SEED, RADIUS = 3, 42, 2
 #: Words of 64 lanes that are abandoned together.
@@ -272,5 +272,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", *, radius
     """
     kept = groups(docs, key, text, radius=radius).where(F.col(key) == F.col("component_id")).select(key).distinct()
     named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi")
-    one = named.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(key))).where("_nth = 1").drop("_nth")
+    (nth,) = fresh(docs, "nth")
+    one = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(nth) == 1)
     return one.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
