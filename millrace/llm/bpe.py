@@ -26,7 +26,7 @@ from millrace.llm import pretokens
 from millrace.llm.common import passes, utf8
 
 #: Pieces whose result a worker keeps; the cache is emptied when it is full.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 #: Above every rank.
 NO_RANK = 1 << 62
 #: Longer pieces are merged with a heap.
