@@ -7,7 +7,7 @@ import json
 import tomllib
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LEVELS = ("info", "warning", "blocker")
@@ -34,16 +34,19 @@ class Policy:
 
     @staticmethod
     def parse(text: str) -> Policy:
-        """From TOML: [check.scope] tables with level, escalate_to, min_count, min_pct, min_runs."""
+        """From TOML: [check.<name>] with ``scopes`` (scope to level) and, if it may escalate, ``escalate`` (scope, level and
+        either min_count with min_pct or min_runs)."""
         raw = tomllib.loads(text)
         rules = {}
-        for check, scopes in raw.items():
-            for scope, values in scopes.items():
-                if set(values) - {"level", "escalate_to", "min_count", "min_pct", "min_runs"} or "level" not in values:
-                    raise ValueError(f"{check}.{scope}: not a rule")
-                if values["level"] not in LEVELS or values.get("escalate_to", "blocker") not in LEVELS:
-                    raise ValueError(f"{check}.{scope}: no such level")
-                rules[check, scope] = Rule(**values)
+        for check, spec in raw.get("check", {}).items():
+            up = spec.get("escalate", {})
+            wrong = set(spec) - {"scopes", "escalate"} or set(up) - {"scope", "level", "min_count", "min_pct", "min_runs"}
+            levels = {*spec.get("scopes", {}).values(), *([up["level"]] if "level" in up else [])}
+            if wrong or not spec.get("scopes") or levels - set(LEVELS) or (up and (up.get("scope") not in spec["scopes"] or "level" not in up)):
+                raise ValueError(f"check.{check}: not a rule")
+            for scope, level in spec["scopes"].items():
+                more = {k: v for k, v in up.items() if k.startswith("min_")} | {"escalate_to": up["level"]} if up.get("scope") == scope else {}
+                rules[check, scope] = Rule(level, **more)
         return Policy(rules, hashlib.sha256(json.dumps(raw, sort_keys=True, separators=(",", ":")).encode()).hexdigest())
 
     def frame(self, spark: SparkSession) -> DataFrame:
@@ -82,8 +85,6 @@ def findings(rows: DataFrame, policy: DataFrame, population: DataFrame) -> DataF
 
 def samples(rows: DataFrame, n: int = SAMPLE) -> DataFrame:
     """For each check the n least keys, found by partial aggregates that never hold more than n."""
-    from pyspark.sql import Window
-
     nth = F.row_number().over(Window.partitionBy("check").orderBy("entity_key"))
     return rows.select("check", "entity_key").distinct().withColumn("nth", nth).where(F.col("nth") <= n).groupBy("check").agg(F.sort_array(F.collect_list("entity_key")).alias("keys"))
 

@@ -87,25 +87,13 @@ def rpt_population(spark: SparkSession, d: str) -> DataFrame:
 
 
 POLICY = """
-[icon_missing.catalog]
-level = "warning"
-escalate_to = "blocker"
-min_count = 5
-min_pct = 4.0
+[check.icon_missing]
+scopes = { reference = "info", new_item = "warning", catalog = "warning" }
+escalate = { scope = "catalog", level = "blocker", min_count = 5, min_pct = 4.0 }
 
-[icon_missing.reference]
-level = "info"
-
-[icon_missing.new_item]
-level = "warning"
-
-[unlisted.catalog]
-level = "info"
-escalate_to = "warning"
-min_runs = 3
-
-[unlisted.reference]
-level = "info"
+[check.unlisted]
+scopes = { reference = "info", catalog = "info" }
+escalate = { scope = "catalog", level = "warning", min_runs = 3 }
 """
 ROWS_SQL = """(SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'icon_missing' ELSE 'unlisted' END AS check_name, concat('p', l_partkey) AS entity_key, CASE WHEN l_suppkey % 3 = 0 THEN 'reference' ELSE 'catalog' END AS entry_kind,
 l_partkey % 10 = 0 AS is_new_item, CAST(1 AS BIGINT) AS affected, CAST(l_linenumber AS BIGINT) AS runs FROM lineitem WHERE l_returnflag = 'R' AND l_quantity < 10)"""

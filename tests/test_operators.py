@@ -153,7 +153,14 @@ def test_scope(spark):
     assert got == [("excluded_name", False), ("cosmetic", False), ("name_token", True), ("rarity", False), ("cost_band", True), ("cost", False)]
 
 
-POLICY = '[c.catalog]\nlevel = "warning"\nescalate_to = "blocker"\nmin_count = 2\nmin_pct = 10.0\n[c.new_item]\nlevel = "info"\n[r.catalog]\nlevel = "info"\nescalate_to = "blocker"\nmin_runs = 3\n'
+POLICY = """
+[check.c]
+scopes = { catalog = "warning", new_item = "info" }
+escalate = { scope = "catalog", level = "blocker", min_count = 2, min_pct = 10.0 }
+[check.r]
+scopes = { catalog = "info" }
+escalate = { scope = "catalog", level = "blocker", min_runs = 3 }
+"""
 
 
 def gate_rows(spark, rows):
@@ -177,9 +184,9 @@ def test_gate(spark):
 
 def test_policy_is_checked():
     assert gate.Policy.parse(POLICY).fingerprint == gate.Policy.parse(POLICY + "\n# note").fingerprint
-    for bad in ('[c.catalog]\nlevel = "loud"', "[c.catalog]\nmin_runs = 1", '[c.catalog]\nlevel = "info"\nextra = 1'):
+    for bad in ('scopes = { catalog = "loud" }', "escalate = {}", 'scopes = { catalog = "info" }\nextra = 1', 'scopes = { catalog = "info" }\nescalate = { scope = "new_item", level = "info" }'):
         with pytest.raises(ValueError):
-            gate.Policy.parse(bad)
+            gate.Policy.parse(f"[check.c]\n{bad}")
 
 
 def test_expectations(spark, tmp_path):
