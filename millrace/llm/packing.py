@@ -17,17 +17,27 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.bpe import encoder
-from millrace.llm.common import checkpoint, passes, utf8
+from millrace.llm.bpe import read_json
+from millrace.llm.common import checkpoint
+
+
+@lru_cache(maxsize=4)
+def tokenizer(path: str) -> tiktoken.Encoding:
+    """The vocabulary of a tokenizer file in JSON, with special tokens inside texts as themselves."""
+    ranks, special = read_json(path)
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,21 +46,18 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "d
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part = encoder(path), TaskContext.get().partitionId()
+        encode, part = tokenizer(path).encode, TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
-            raw, at = utf8(batch.column(text))
-            row, made = 0, []
-            for a, b in passes(at):
-                for ids in tool.encode_batch(raw[at[a] : at[b]], at[a : b + 1] - at[a]):
-                    data = np.array(ids, "<u4").tobytes() + end
-                    n = len(data) // 4
-                    start, stop, k = 0, (n - 1) % capacity + 1, 0
-                    while start < n:
-                        made.append((row, k, start, stop - start, zlib.crc32(data[4 * start : 4 * stop]), seen[stop - start]))
-                        seen[stop - start] += 1
-                        start, stop, k = stop, stop + capacity, k + 1
-                    row += 1
+            made = []
+            for row, value in enumerate(batch.column(text)):
+                data = np.array(encode(value.as_py() or "", allowed_special="all"), "<u4").tobytes() + end
+                n = len(data) // 4
+                start, stop, k = 0, (n - 1) % capacity + 1, 0
+                while start < n:
+                    made.append((row, k, start, stop - start, zlib.crc32(data[4 * start : 4 * stop]), seen[stop - start]))
+                    seen[stop - start] += 1
+                    start, stop, k = stop, stop + capacity, k + 1
             if made:
                 rows, *rest = zip(*made, strict=True)
                 columns = [pa.array(c, kind) for c, kind in zip(rest, (pa.int32(), *[pa.int64()] * 4), strict=True)]
