@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.models import checks, history
 from millrace.models.build import RAW, Build, Run
-from millrace.models.catalogue import MARTS
-from millrace.operators import gate
+from millrace.operators import gate, quality
 
 ITEM = ("hash", "weapon", "Fire  blade", "ur", "sword", 50, "fire", 80)
 
@@ -42,11 +41,10 @@ def world(spark, *, gone=(), names=None, failed=(), confirmed=(), run=1, extra=(
 
 @pytest.fixture(scope="module")
 def revisions(spark, tmp_path_factory):
-    """boot, nothing new, one item gone, its alias confirmed, the item back."""
+    """boot; one item gone; its alias confirmed and else nothing new; the item back and another page broken."""
     folder = tmp_path_factory.mktemp("builds")
     steps = [
-        world(spark), world(spark, run=2), world(spark, gone=("b",), run=3), world(spark, gone=("b",), confirmed=[(" b ", "a")], run=4),
-        world(spark, confirmed=[("b", "a")], run=5), world(spark, failed=("c",), confirmed=[("b", "a")], run=6),
+        world(spark), world(spark, gone=("b",), run=2), world(spark, gone=("b",), confirmed=[(" b ", "a")], run=3), world(spark, failed=("c",), confirmed=[("b", "a")], run=4),
     ]
     past, out = {}, []
     for n, raw in enumerate(steps, 1):
@@ -73,33 +71,33 @@ def test_first_revision_inserts_all(revisions):
 
 
 def test_nothing_new_changes_nothing(revisions):
-    assert revisions[1]["int_changes"].count() == 0
-    assert revisions[1]["mart_equipment"].where("last_changed_revision <> 1 OR last_seen <> '2024-01-01T00:00:00Z'").count() == 0
+    assert {r.operation for r in revisions[2]["int_changes"].where("entity_type NOT IN ('uid_alias')").collect()} == {"ALIAS"}
+    assert revisions[2]["mart_equipment"].where("uid <> 'b' AND (last_changed_revision <> 1 OR last_seen <> '2024-01-01T00:00:00Z')").count() == 0
 
 
 def test_gone_item_is_retired_and_kept(revisions):
-    b = revisions[2]
+    b = revisions[1]
     assert operations(b) == {"b": "RETIRE"} and operations(b, "uid_retired") == {"b": "INSERT"}
     row = b["mart_equipment"].where("uid = 'b'").first()
-    assert (row.state, row.retired_revision, row.last_changed_revision, row.last_seen) == ("retired", 3, 3, "2024-01-01T00:00:00Z")
+    assert (row.state, row.retired_revision, row.last_changed_revision, row.last_seen) == ("retired", 2, 2, "2024-01-01T00:00:00Z")
     assert [r.detail for r in checks.retired(b).collect()] == ["gone"]
 
 
 def test_alias_is_recorded_after_the_retirement(revisions):
-    b = revisions[3]
+    b = revisions[2]
     assert operations(b) == {"b": "ALIAS"} and operations(b, "uid_alias") == {"b": "INSERT"}
-    assert [(r.old_uid, r.new_uid, r.since_revision) for r in b["mart_uid_alias"].collect()] == [("b", "a", 4)]
+    assert [(r.old_uid, r.new_uid, r.since_revision) for r in b["mart_uid_alias"].collect()] == [("b", "a", 3)]
 
 
 def test_revived_item_is_an_update(revisions):
-    b = revisions[4]
+    b = revisions[3]
     assert operations(b) == {"b": "UPDATE"}
     assert checks.unexplained_churn(b).count() == 0
     assert b["mart_uid_retired"].count() == 1 and checks.ledgers_append_only(b).count() == 0
 
 
 def test_failed_page_defers_deletes(revisions):
-    b = revisions[5]
+    b = revisions[3]
     assert "DELETE" not in {r.operation for r in b["int_changes"].collect()}
     assert checks.deferred_shared_deletes(b).count() > 0
     assert [r.uid for r in b["shipped_parse_failures"].collect()] == ["c"]
@@ -109,9 +107,9 @@ def test_failed_page_defers_deletes(revisions):
 
 def test_additions_are_idempotent(revisions):
     b = revisions[1]
-    for name, df in history.additions(b).items():
-        again = Build(b.spark, b.run, b.raw, {**b.previous, name: (b.previous[name].unionByName(df) if name in b.previous else df)})
-        again.made.update({k: v for k, v in b.made.items()})
+    new = history.additions(b)
+    again = Build(b.spark, b.run, b.raw, {n: b.previous[n].unionByName(new[n]) for n in new}, made=dict(b.made))
+    for name in ("dataset_changes", "uid_retired", "population", "equipment_seen"):
         assert history.additions(again)[name].count() == 0, name
 
 
@@ -127,18 +125,13 @@ def test_marts_are_made_of_the_records(revisions):
     assert b["mart_weapon"].where("proc_id IS NULL OR ability_uid <> 'ab'").count() == 0
 
 
-def test_every_mart_conforms(revisions):
-    for name in MARTS:
-        assert revisions[0][f"mart_{name}"].count() >= 0
-
-
 def test_keys_and_parents_hold(revisions):
-    for e in checks.key_checks(revisions[0]):
-        assert e.failing.count() == 0, e.name
+    found = quality.run_expectations(checks.key_checks(revisions[0])).where("failures > 0").collect()
+    assert found == []
 
 
 def test_history_and_reports(revisions):
-    b = revisions[2]
+    b = revisions[1]
     metrics = {(r.metric, r.scope): (r.value, r.prev_value) for r in b["obs_data_quality"].collect()}
     assert metrics["count:equipment", "all"] == (3.0, 3.0) and metrics["population", "catalog"] == (2.0, 3.0) and metrics["retirements", "all"] == (1.0, 0.0)
     drop = checks.count_drop(b).first()
@@ -151,8 +144,8 @@ def test_history_and_reports(revisions):
 
 def test_gate_over_a_build(revisions):
     policy = gate.Policy.parse('[check.retired]\nscopes = { catalog = "warning" }\nescalate = { scope = "catalog", level = "blocker", min_count = 1, min_pct = 1.0 }')
-    b = revisions[2]
-    found = gate.findings(checks.gate_input(b), policy.frame(b.spark), b.prev("population").where("run_id = 'run2'")).collect()
+    b = revisions[1]
+    found = gate.findings(checks.gate_input(b), policy.frame(b.spark), b.prev("population").where("run_id = 'run1'")).collect()
     assert [(r.check, r.level, r.escalated) for r in found] == [("retired", 2, True)]
 
 
@@ -180,4 +173,6 @@ VIOLATIONS = [
 def test_violation_is_found(spark, name, change, n):
     raw = world(spark) | {t: frame(spark, t, rows) for t, rows in change.items()}
     b = Build(spark, Run(1, "run1", "2024-01-01T00:00:00Z", bootstrap=True, last_complete_run=1), raw, {})
+    # the shipped items without what depends on the change log, which no check here looks at
+    b.made["mart_equipment"] = b["int_ship_equipment"]
     assert checks.CHECKS[name][1](b).count() == n
