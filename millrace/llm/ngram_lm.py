@@ -38,7 +38,7 @@ from millrace.llm.elias_fano import EliasFano, from_file, pack, to_bytes, unpack
 from millrace.llm.repetition import mix
 
 #: Length of the longest n-gram, and what is taken off each count.
-ORDER, DISCOUNT = 2, 0.75
+ORDER, DISCOUNT = 3, 0.75
 #: Additive smoothing of words alone.
 ADDED = 0.1
 #: Tokens of training text for each file of a level, and from which count on a context is spread over files.

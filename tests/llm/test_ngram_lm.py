@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from millrace.llm import ngram_lm
+from millrace.llm import ngram_lm, queries
 from millrace.llm.elias_fano import EliasFano, from_file, pack, to_bytes, unpack
 
 
@@ -83,6 +83,15 @@ def test_scores_are_those_of_brute_force(spark, order, file_tokens, spread):
         assert abs(r.score - score) < 3e-4 * n
 
 
+def test_the_query_uses_contexts_of_two_words(spark, tmp_path):
+    texts = ["a b c", "x b d", "a b c", "x b d", "a b d", "q"] * 40
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.op2_ngram_lm(spark, str(tmp_path)).collect()
+    _, want = brute([texts[r.doc_id] for r in rows if not r.held_out], [texts[r.doc_id] for r in rows], 3)
+    for r, (n, _, _, score) in zip(rows, want, strict=True):
+        assert abs(r.score - score) < 3e-4 * n
+
+
 def test_probabilities_add_up(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b c", "a c", "b a a", "c"])], "doc_id long, text string")
     model = ngram_lm.fit(docs)
