@@ -9,7 +9,9 @@ there are. The pieces stay on the executors: each has a rank among the pieces of
 partition plus what earlier partitions hold), and the plan says which sequence and offset that rank gets.
 
 Defined cases: a null text counts as empty and is the end id alone; documents with equal texts or equal ids are packed
-as documents of their own; an empty table gives no rows; null ids are kept as they are; other columns are not read.
+as documents of their own; an empty table gives no rows; null ids are kept as they are; other columns are not read; a
+text that the library's regular expression gives up on (a million white-space characters in a row) is cut into pieces
+by :mod:`millrace.llm.pretokens` and has the same ids.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.bpe import read_json
+from millrace.llm.bpe import pieces_of, read_json
 from millrace.llm.common import checkpoint
 
 
@@ -40,18 +42,31 @@ def tokenizer(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encode(tool: tiktoken.Encoding, text: str) -> list[int]:
+    try:
+        return tool.encode(text, allowed_special="all")
+    except ValueError:  # the stack of the library's regular expression is bounded
+        raw, special = np.frombuffer(text.encode(), np.uint8), tool.special_tokens_set
+        text, starts, _ = pieces_of(raw, np.array([0, len(raw)]), tuple(special))
+        out = []
+        for a, b in pairwise(starts.tolist()):
+            piece = text[a:b]
+            out += [tool.encode_single_token(piece)] if piece in special else tool._encode_single_piece(piece)
+        return out
+
+
 def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece, with its rank among the pieces of its length in its partition."""
     schema = T.StructType([docs.schema[key], T.StructField("piece", T.IntegerType()), *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "nth")), T.StructField("part", T.IntegerType())])
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = tokenizer(path).encode, TaskContext.get().partitionId()
+        tool, part = tokenizer(path), TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
             made = []
             for row, value in enumerate(batch.column(text)):
-                data = np.array(encode(value.as_py() or "", allowed_special="all"), "<u4").tobytes() + end
+                data = np.array(encode(tool, value.as_py() or ""), "<u4").tobytes() + end
                 n = len(data) // 4
                 start, stop, k = 0, (n - 1) % capacity + 1, 0
                 while start < n:

@@ -55,3 +55,16 @@ def test_pack(docs, vocabulary):
     assert (order.offset + order.length).max() <= capacity
     assert got.sequence_id.nunique() <= -(-got.length.sum() // capacity) + 1
     assert packing.pack(docs.limit(0), path, capacity, end_id=2).count() == 0
+
+
+def test_long_runs_of_white_space(spark, vocabulary):
+    path = vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    n = 1_001_000
+    texts = ["a" + "\n" * n + "b", "One <|endoftext|> é" + " " * n, " \n" * (n // 2) + "\u3000x 12<|endoftext|>", "short"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.pack(docs, path, 1 << 21, end_id=2).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = np.array([*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 2], "<u4")
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
