@@ -157,6 +157,16 @@ def cdc_09(spark: SparkSession, d: str) -> DataFrame:
     return changes.net_operations(change_log(spark, d).where("revision < 400"), ["uid_alias"])
 
 
+@query(
+    "cdc_09_net_operations_log",
+    f"""WITH n AS (SELECT entity_type, entity_key, arg_min(operation, revision) AS f, arg_max(operation, revision) AS l, bool_or(operation IN ('INSERT', 'UPDATE')) AS w, max(revision) AS revision FROM {LOG_SQL} WHERE operation <> 'ALIAS' GROUP BY ALL)
+    SELECT entity_type, entity_key, CASE WHEN entity_type = 'uid_alias' THEN 'UPSERT' WHEN l = 'DELETE' THEN 'DELETE' WHEN w THEN 'UPSERT' ELSE 'RETIRE' END AS operation, revision FROM n WHERE entity_type = 'uid_alias' OR NOT (l = 'DELETE' AND f = 'INSERT')""",
+)
+def cdc_09_log(spark: SparkSession, d: str) -> DataFrame:
+    """As cdc_09_net_operations, over the log from its first revision to its last."""
+    return changes.net_operations(change_log(spark, d), ["uid_alias"])
+
+
 @query("cdc_14_replay", "SELECT CAST(NULL AS BIGINT) AS p_partkey, CAST(NULL AS BIGINT) AS cost, CAST(NULL AS VARCHAR) AS side WHERE false")
 def cdc_14(spark: SparkSession, d: str) -> DataFrame:
     """The old table with the operations applied differs from the new one in no row."""

@@ -33,3 +33,9 @@ def test_query(spark, con, name):
     assert sorted(columns) == sorted(got.columns)
     rows = got.select(*[f"`{c}`" for c in columns]).collect()
     assert sorted(tuple(map(shown, r)) for r in rows) == sorted(tuple(map(shown, r)) for r in want.fetchall())
+
+
+def test_the_whole_log_is_netted(spark):
+    got = registry.queries()["cdc_09_net_operations_log"](spark, SF)
+    log = spark.read.parquet(f"{SF}/events.parquet").where("event_type <> 'click'")
+    assert got.agg({"revision": "max"}).first()[0] > 0.9 * log.agg({"event_id": "max"}).first()[0]
