@@ -246,6 +246,20 @@ def graph_02(spark: SparkSession, d: str) -> DataFrame:
     return graph.in_cycles(spark.sql(RING_SQL.replace("FROM customer", "FROM customer_in")))
 
 
+RINGS_SQL = "SELECT 'ring' AS kind, CAST(floor(c_custkey / 120) AS BIGINT) * 100 + c_custkey % 40 AS from_uid, CAST(floor(c_custkey / 120) AS BIGINT) * 100 + (c_custkey * 7 + 3) % 60 AS to_uid FROM customer"
+
+
+@query(
+    "graph_02_cycles_in_blocks",
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT * FROM ({RINGS_SQL})), r(a, b) AS (SELECT from_uid, to_uid FROM e UNION SELECT r.a, e.to_uid FROM r JOIN e ON e.from_uid = r.b), c AS (SELECT DISTINCT a AS u FROM r WHERE a = b),
+    f AS (SELECT u FROM c UNION SELECT r.b FROM r JOIN c ON c.u = r.a), t AS (SELECT u FROM c UNION SELECT r.a FROM r JOIN c ON c.u = r.b) SELECT DISTINCT 'ring' AS kind, f.u AS uid FROM f JOIN t ON t.u = f.u""",
+)
+def graph_02_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """As graph_02_cycles, with links within blocks of 120 customers, so that keys and cycles grow with the table."""
+    table(spark, d, "customer").createOrReplaceTempView("customer_in")
+    return graph.in_cycles(spark.sql(RINGS_SQL.replace("FROM customer", "FROM customer_in")))
+
+
 @query(
     "graph_03_alias_ends",
     "WITH RECURSIVE a AS (SELECT p_partkey AS o, CAST(floor(p_partkey / 2) AS BIGINT) AS n FROM part WHERE p_partkey % 4 > 0), w AS (SELECT o, n FROM a UNION ALL SELECT w.o, a.n FROM w JOIN a ON a.o = w.n) SELECT o AS old_uid, n AS end_uid FROM w WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.o = w.n)",
@@ -266,6 +280,18 @@ def graph_04(spark: SparkSession, d: str) -> DataFrame:
     return graph.expand(part.where("p_partkey < 4").select(F.col("p_partkey").alias("item_id")), linked, {"evolution": 1, "enlightening": 2})
 
 
+@query(
+    "graph_04_expand_many",
+    """WITH RECURSIVE l AS (SELECT CAST(floor(p_partkey / 3) AS BIGINT) AS s, CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 6 END AS most, p_partkey AS t FROM part WHERE p_partkey > 0),
+    w(i, depth) AS (SELECT p_partkey, 0 FROM part WHERE p_partkey % 5 = 1 UNION SELECT l.t, w.depth + 1 FROM w JOIN l ON l.s = w.i WHERE w.depth < l.most) SELECT i AS item_id, min(depth) AS depth FROM w GROUP BY i""",
+)
+def graph_04_many(spark: SparkSession, d: str) -> DataFrame:
+    """As graph_04_expand, from a fifth of all parts and down to depth six."""
+    part = table(spark, d, "part")
+    linked = part.where("p_partkey > 0").selectExpr("CAST(floor(p_partkey / 3) AS BIGINT) AS source_id", "CASE WHEN p_partkey % 2 = 0 THEN 'evolution' ELSE 'enlightening' END AS kind", "p_partkey AS target_id")
+    return graph.expand(part.where("p_partkey % 5 = 1").select(F.col("p_partkey").alias("item_id")), linked, {"evolution": 2, "enlightening": 6})
+
+
 @query(
     "scope_01_decisions",
     f"""SELECT reason, reason IN ('name_token', 'cost_band') AS keep, count(*) AS n FROM (SELECT CASE WHEN lower(name) LIKE '%rod%' THEN 'excluded_name' WHEN cost = 89 THEN 'cosmetic' WHEN lower(name) LIKE '%hot%' THEN 'name_token'

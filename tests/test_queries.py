@@ -39,3 +39,9 @@ def test_the_whole_log_is_netted(spark):
     got = registry.queries()["cdc_09_net_operations_log"](spark, SF)
     log = spark.read.parquet(f"{SF}/events.parquet").where("event_type <> 'click'")
     assert got.agg({"revision": "max"}).first()[0] > 0.9 * log.agg({"event_id": "max"}).first()[0]
+
+
+@pytest.mark.parametrize("name", ["graph_02_cycles_in_blocks", "graph_04_expand_many"])
+def test_graphs_grow_with_the_tables(spark, name):
+    small, large = (registry.queries()[name](spark, d).count() for d in (SF, SF.replace("sf0.001", "sf0.01")))
+    assert large > 5 * small > 0
