@@ -36,11 +36,13 @@ def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the session's, or a new one where it has none (a single machine)."""
+    """The shared folder for checkpoints: the session's, or a new one in local mode where it has none."""
     have = spark.conf.get("spark.checkpoint.dir", None)
     if not have:
         have = spark.sparkContext.getCheckpointDir()
         if not have:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             have = tempfile.mkdtemp(prefix="millrace-checkpoint-")
             spark.sparkContext.setCheckpointDir(have)
         return have
@@ -49,6 +51,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return have
 
 
+#: A key is hot if it has at least so many rows, and at least one in HOT_KEYS of all rows.
+HOT_ROWS, HOT_KEYS = 100_000, 512
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of rows with facts, one for each value of the key, where ``count`` says how many of the rows have it.
+
+    Hot keys are HOT_KEYS at most whatever the data; their facts are broadcast, so that no task gets a hot key's rows,
+    and only the others' rows are shuffled. Null keys don't join. Both sides may be read twice: give tables whose lineage
+    is cut.
+    """
+    sizes = facts.agg(F.sum(count).alias("total"), F.max(count).alias("most")).first()
+    least = max(hot_rows, -(-(sizes["total"] or 0) // HOT_KEYS))
+    if (sizes["most"] or 0) < least:
+        return rows.join(facts.drop(count), key)
+    hot, cold = facts.where(F.col(count) >= least).drop(count), facts.where(F.col(count) < least).drop(count)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(others.join(cold, key))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder, so that a lost executor costs no rerun of what came before."""
     ensure_checkpoint_dir(df.sparkSession)

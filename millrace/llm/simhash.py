@@ -8,9 +8,9 @@ place: a query's distances to all lanes grow together in carry-save counters, an
 beyond the radius are abandoned. Buckets give a spanning tree of their links, not every pair; groups are the components.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is linked like any other; with
-fewer words than a shingle the whole sequence is one shingle; documents without an id are fingerprinted but make no
-links, and belong to a group only through a document of equal fingerprint that has an id; repeated ids are one node for
-each fingerprint they have.
+fewer words than a shingle the whole sequence is one shingle; an empty table has no groups. A node is a fingerprint, so
+rows that repeat an id with other texts are grouped each by its own text. Documents without an id are linked like others
+but give a group no name: a group of such documents alone has a null one.
 """
 
 from __future__ import annotations
@@ -21,17 +21,19 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import checkpoint, fresh, passes, utf8
+from millrace.llm.common import checkpoint, fresh, join_counted, passes, utf8
 
 SHINGLE_WORDS, HASH_SEED, RADIUS = 3, 42, 2
 #: Words of 64 lanes that are abandoned together.
 BLOCK_WORDS = 8
 #: Buckets of up to this size are compared pair by pair, all buckets at once.
 TINY = 4
+#: Links that a task holds before it hands on what spans them.
+HELD_LINKS = 1 << 20
 
 
 def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS, seed: int = HASH_SEED) -> list[int]:
@@ -71,16 +73,16 @@ def fingerprint_batch(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Ids and fingerprints as signed longs."""
-    schema = T.StructType([docs.schema[key], T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """The columns to keep, and fingerprints as signed longs."""
+    schema = T.StructType([*(docs.schema[k] for k in keep), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = utf8(batch.column(text))
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(fingerprint_batch(raw, at).view(np.int64))], names=[key, "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(fingerprint_batch(raw, at).view(np.int64))], names=schema.names)
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(*keep, text).mapInArrow(run, schema)
 
 
 def planes(values: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -210,20 +212,27 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        kept = np.zeros((0, 2), np.int64)
+        kept: list[np.ndarray] = []
+
+        def told() -> pa.RecordBatch:
+            pairs = roots(np.concatenate(kept))
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
         for batch in batches:
             now = np.stack([c.to_numpy() for c in (batch.column("t").cast(pa.int64()), *map(batch.column, ("key", "fp", "node")))], axis=1)
             held = now if held is None else np.concatenate([held, now])
             last = np.flatnonzero((held[:, :2] != held[-1, :2]).any(axis=1))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:  # the last run may go on in the next batch
-                kept = np.concatenate([kept, of(held[:cut])])
+                kept.append(of(held[:cut]))
                 held = held[cut:]
+                if sum(map(len, kept)) > HELD_LINKS:
+                    yield told()
         if held is not None and len(held):
-            kept = np.concatenate([kept, of(held)])
-        if len(kept):
-            kept = roots(kept)
-            yield pa.RecordBatch.from_arrays([pa.array(kept[:, 0]), pa.array(kept[:, 1])], names=["u", "v"])
+            kept.append(of(held))
+        if kept:
+            yield told()
 
     return keyed.repartition("t", "key").sortWithinPartitions("t", "key").mapInArrow(run, schema)
 
@@ -243,10 +252,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = mark(now)
     while before[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.when(F.col("v") > F.col("u"), 1)).alias("n"))
+        least = checkpoint(least.where("n > 0").select("u", F.least("u", "m").alias("m"), "n"))
+        large = checkpoint(join_counted(both.where("v > u"), least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = checkpoint(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        small = join_counted(large, low, "u", "n").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         now = checkpoint(small.where("u <> v").distinct())
         after = mark(now)
         if after == before:
@@ -255,23 +265,44 @@ def components(edges: DataFrame) -> DataFrame:
     return now
 
 
+def grouped(made: DataFrame, radius: int) -> DataFrame:
+    """Of each fingerprint of rows that are cut from their lineage: fp, n (its rows) and root, the least of its component."""
+    nodes = checkpoint(made.groupBy("fp").agg(F.count("*").alias("n")))
+    found = components(links(nodes.select(F.col("fp").alias("node"), "fp"), radius))
+    return nodes.join(found, nodes["fp"] == found["u"], "left").select("fp", "n", F.coalesce("v", "fp").alias("root"))
+
+
+def least_of_group(made: DataFrame, value: Column, radius: int) -> DataFrame:
+    """(fp, n, least): the least value among the rows of each fingerprint's component."""
+    own = made.groupBy("fp").agg(F.min(value).alias("own"))
+    member = checkpoint(grouped(made, radius).join(own, "fp"))
+    of_root = checkpoint(member.groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("size")))
+    return join_counted(member.drop("own"), of_root, "root", "size").select("fp", "n", "least")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", *, radius: int = RADIUS) -> DataFrame:
     """Of each document: id, fingerprint in hexadecimal, and the least id of its component."""
-    made = checkpoint(fingerprints(docs, key, text))
-    distinct = made.groupBy("fp").agg(F.min(key).alias("node"))
-    found = components(links(distinct.where(F.col("node").isNotNull()), radius))
-    of_fp = distinct.join(found, distinct["node"] == found["u"], "left").select("fp", F.coalesce("v", "node").alias("component_id"))
+    made = checkpoint(fingerprints(docs, key, text=text))
+    names = checkpoint(least_of_group(made, F.col(key), radius).withColumnRenamed("least", "component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return made.join(of_fp, "fp").select(key, hexed, "component_id")
+    return join_counted(made, names, "fp", "n").select(key, hexed, "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", *, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, unchanged, of which each group keeps the one with the least id; rows without an id stay.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", *, radius: int = RADIUS, keep_unnamed: bool = True) -> DataFrame:
+    """The rows of docs, unchanged, of which each group of near-duplicates keeps one.
 
-    Of rows that repeat the least id one stays.
+    It is the row with the least id. Among rows of that id in the group the text with the least MD5 stays, and of rows
+    equal in id and text the one whose columns' hash is the least. Rows without an id all stay with ``keep_unnamed``;
+    otherwise one stays where its group has no row with an id, and else none.
     """
-    kept = groups(docs, key, text, radius=radius).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    named = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi")
-    (nth,) = fresh(docs, "nth")
-    one = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).where(F.col(nth) == 1)
-    return one.select(docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    mark, nth = fresh(docs, "row_mark", "nth")
+    marked = F.concat(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.when(F.col(key).isNull(), "-").otherwise(F.concat(F.lit("="), F.col(key).cast("string"))))
+    made = checkpoint(fingerprints(docs.select(key, text, marked.alias(mark)), key, mark, text=text))
+    first = F.struct(F.col(key).isNull().alias("without"), F.col(key).alias("id"), F.col(mark).alias("mark"))
+    # a mark belongs to one text, and so to one group
+    kept = least_of_group(made, first, radius).select(F.col("least.mark").alias(mark)).distinct()
+    judged = docs.where(F.col(key).isNotNull()) if keep_unnamed else docs
+    chosen = judged.withColumn(mark, marked).join(kept, mark, "left_semi")
+    order = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns])
+    one = chosen.withColumn(nth, F.row_number().over(Window.partitionBy(mark).orderBy(order))).where(F.col(nth) == 1).select(docs.columns)
+    return one.unionByName(docs.where(F.col(key).isNull())) if keep_unnamed else one

@@ -6,6 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import simhash
+from millrace.llm.common import join_counted
 
 
 def brute_fingerprint(text):
@@ -100,3 +101,45 @@ def test_keep_one(docs):
     components = {r.component_id for r in simhash.groups(docs).where("doc_id is not null").collect()}
     assert ids == sorted(components)
     assert kept.where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_rows_that_repeat_an_id_are_grouped_by_their_texts(spark):
+    a, b = "one two three four five six", "quite another text that has nothing of the first"
+    for rows, want in (
+        ([(3, a), (5, a), (5, b), (9, b)], [(3, a), (5, b)]),
+        ([(5, a), (5, b)], [(5, a), (5, b)]),
+        ([(None, a), (None, a), (7, b), (None, b)], [(None, a), (7, b)]),
+        ([(1, a), (1, a), (2, None), (2, "")], [(1, a), (2, "")]),
+    ):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = [(r.doc_id, r.text or "") for r in simhash.keep_one(docs, keep_unnamed=False).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_every_group_of_random_rows_keeps_exactly_one(spark):
+    random.seed(16)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(random.choices(words, k=30)) for _ in range(12)]
+    rows = [(random.choice([None, *range(6)]), random.choice([*texts, None, ""])) for _ in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    roots = brute_groups([brute_fingerprint(t) for _, t in rows])
+    groups = {}
+    for (i, t), root in zip(rows, roots, strict=True):
+        groups.setdefault(root, []).append((i is None, i or 0, t or ""))
+    want = {root: min(g)[:2] for root, g in groups.items()}
+    kept = [(r.doc_id is None, r.doc_id or 0, r.text or "") for r in simhash.keep_one(docs, keep_unnamed=False).collect()]
+    root_of = {t or "": root for (_, t), root in zip(rows, roots, strict=True)}
+    assert len(kept) == len(want)
+    assert {root_of[t]: (a, b) for a, b, t in kept} == want
+    named = {r.fingerprint: r.component_id for r in simhash.groups(docs).collect()}
+    for (_, t), root in zip(rows, roots, strict=True):
+        ids = [i for without, i, _ in groups[root] if not without]
+        assert named[f"{brute_fingerprint(t):016x}"] == (min(ids) if ids else None)
+
+
+def test_join_of_hot_keys(spark):
+    rows = spark.createDataFrame([(k, i) for i in range(300) for k in ([1] * 3 + [i])], "k long, i long")
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), (F.max("k") * 10).alias("x"))
+    want = sorted((r.k, r.i, r.k * 10) for r in rows.collect())
+    for hot_rows in (1, 5, 10_000):
+        assert sorted(map(tuple, join_counted(rows, facts, "k", "n", hot_rows=hot_rows).select("k", "i", "x").collect())) == want
