@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -49,6 +50,8 @@ PASS, HELD = 8 << 20, 3_000_000
 STEPS = 4000
 #: Open files that a worker keeps.
 OPEN_FILES = 1024
+#: Bytes of a word above which it is hashed by itself.
+LONG_WORD = 256
 
 #: Stand-ins of a text's end among the hashes, and the hashes' seed.
 END_HASH, SEED = 0x9B1D_5A3C_77E4_0F21, 1
@@ -87,22 +90,45 @@ def steps_of(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=np.zeros(1, sorted_values.dtype))
 
 
+def word_hashes(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of the bytes, eight bytes of all words at a time; long words one by one."""
+    words = np.ndarray((len(low) + 1,), "<u8", np.concatenate([low, np.zeros(8, np.uint8)]), 0, (1,))
+    out = mix(sizes + SEED)
+    left = np.flatnonzero(sizes <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        if not len(left):
+            break
+        rest = sizes[left] - k
+        part = words[starts[left] + k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * np.maximum(8 - rest, 0)).astype(np.uint64))
+        out[left] = mix(out[left] ^ part)
+        left = left[rest > 8]
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(low[starts[i] : starts[i] + sizes[i]].tobytes(), SEED)
+    return out
+
+
 class Tokens:
     """A pass of texts: their distinct words' hashes, and the tokens with each text's end as indices of these."""
 
     def __init__(self, raw: np.ndarray, at: np.ndarray):
-        known: dict[bytes, int] = {}
-        found: list[int] = []
-        ends = []
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            found += [known.setdefault(w, len(known) + 1) for w in raw[a:b].tobytes().lower().split()]
-            found.append(0)
-            ends.append(len(found))
-        digest = xxhash.xxh64_intdigest
-        self.hashes = np.array([END_HASH, *(digest(w, SEED) for w in known)], np.uint64)
-        self.index = np.array(found, np.int64)
-        self.ends = np.array(ends, np.int64)
-        self.begins = np.concatenate([[0], self.ends[:-1]]) if ends else self.ends
+        n = len(at) - 1
+        low = np.where((raw >= 0x41) & (raw <= 0x5A), raw + np.uint8(0x20), raw)
+        within = (raw != 0x20) & ((raw < 0x09) | (raw > 0x0D))
+        begins = within.copy()
+        begins[1:] &= ~within[:-1]
+        heads = at[:-1][at[:-1] < at[1:]]
+        begins[heads] = within[heads]
+        stops = within.copy()
+        stops[:-1] &= ~within[1:]
+        stops[heads[1:] - 1] = within[heads[1:] - 1]
+        starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+        codes, distinct = pd.factorize(word_hashes(low, starts, ends - starts))
+        upto = np.searchsorted(starts, at)
+        self.hashes = np.concatenate([np.array([END_HASH], np.uint64), distinct.astype(np.uint64)])
+        self.index = np.zeros(len(starts) + n, np.int64)
+        self.index[np.arange(len(starts)) + np.repeat(np.arange(n), np.diff(upto))] = codes + 1
+        self.ends = upto[1:] + np.arange(1, n + 1)
+        self.begins = np.concatenate([[0], self.ends[:-1]]) if n else self.ends
 
 
 def write_file(uri: str, arrays: dict[str, np.ndarray]) -> None:
