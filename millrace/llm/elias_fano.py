@@ -36,6 +36,18 @@ def unpack(packed: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     return (words[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
 
 
+def select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the one of this rank (from 0) in each word: the half that holds it, thrice, then a byte's table."""
+    shift = np.zeros(len(words), np.uint64)
+    rank = rank.astype(np.uint8)
+    for half in (32, 16, 8):
+        ones = np.bitwise_count((words >> shift) & np.uint64((1 << half) - 1))
+        beyond = rank >= ones
+        rank = rank - ones * beyond
+        shift += beyond.astype(np.uint64) * np.uint64(half)
+    return shift.astype(np.int64) + SELECT[((words >> shift) & np.uint64(255)).astype(np.int64), rank]
+
+
 class EliasFano:
     """A sequence of numbers that don't fall."""
 
@@ -66,13 +78,7 @@ class EliasFano:
     def _select_zero(self, k: np.ndarray) -> np.ndarray:
         """Place of the k-th zero (from 0) in the bit vector."""
         word = np.searchsorted(self.zeros, k, "right") - 1
-        rest = k - self.zeros[word].astype(np.int64)
-        parts = (~self.high[word]).astype("<u8").view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-        byte = (upto <= rest[:, None]).sum(axis=1)
-        row = np.arange(len(k))
-        rest -= np.where(byte > 0, upto[row, np.maximum(byte - 1, 0)], 0)
-        return 64 * word + 8 * byte + SELECT[parts[row, byte], rest]
+        return 64 * word + select(~self.high[word], k - self.zeros[word].astype(np.int64))
 
     def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks [from, to) of the numbers with these high parts (at most the highest)."""
@@ -85,12 +91,7 @@ class EliasFano:
         """The numbers of the ranks ``at``."""
         word = np.searchsorted(64 * np.arange(len(self.zeros)) - self.zeros.astype(np.int64), at, "right") - 1
         rest = at - (64 * word - self.zeros[word].astype(np.int64))
-        parts = self.high[word].astype("<u8").view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-        byte = (upto <= rest[:, None]).sum(axis=1)
-        row = np.arange(len(at))
-        rest = rest - np.where(byte > 0, upto[row, np.maximum(byte - 1, 0)], 0)
-        high = 64 * word + 8 * byte + SELECT[parts[row, byte], rest] - at
+        high = 64 * word + select(self.high[word], rest) - at
         return (high.astype(np.uint64) << np.uint64(self.width)) | unpack(self.low, self.width, at)
 
     def find(self, values: np.ndarray, since: np.ndarray | None = None, until: np.ndarray | None = None) -> np.ndarray:

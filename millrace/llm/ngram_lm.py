@@ -10,7 +10,7 @@ entries at once.
 
 P(w | h) = max(c(h w) - d, 0) / c(h) + d T(h) / c(h) * P(w | shorter h), T(h) the number of different successors, with
 additive smoothing for words alone. A context that occurs more often than a file should hold is spread over files by its
-words; only such contexts' T, a few for each file, go through the driver.
+words; their T are summed up by Spark, and one row for each (at most the tokens over ``spread_from``) goes to the driver.
 
 Defined cases: a null or empty text is its end token alone; repeated texts count as often as they occur; texts without an
 id are scored but not learned; without training texts every word has the same probability 0.1 / (0.1 * 1).
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import ensure_checkpoint_dir, passes, utf8
+from millrace.llm.common import checkpoint, ensure_checkpoint_dir, passes, utf8
 from millrace.llm.elias_fano import EliasFano, from_file, pack, to_bytes, unpack
 from millrace.llm.repetition import mix
 
@@ -53,6 +53,8 @@ OPEN_FILES = 1024
 #: Bytes of a word above which it is hashed by itself.
 LONG_WORD = 256
 
+EMPTY = np.zeros(0, np.int64)
+
 #: Stand-ins of a text's end among the hashes, and the hashes' seed.
 END_HASH, SEED = 0x9B1D_5A3C_77E4_0F21, 1
 
@@ -209,7 +211,7 @@ class Model:
         return ids, counts
 
     def find_entries(self, level: int, context: np.ndarray, word: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of entries of a level: id (-1: unknown), count (0 in the last level), discounted probability, and the weight of
+        """Of entries of a level, sorted by context: id (-1: unknown), count (0 in the last level), discounted probability, and the weight of
         the shorter context (1 where the context is unknown)."""
         n = len(context)
         ids, counts, p, rest = np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n), np.ones(n)
@@ -218,8 +220,9 @@ class Model:
             if base[file] == base[file + 1]:
                 continue
             arrays = read_file(self.uri(level, file))
-            distinct, inverse = np.unique(context[rows], return_inverse=True)
-            place = EliasFano(arrays, "context").find(distinct)[inverse]
+            asked = context[rows]
+            fresh = np.diff(asked, prepend=-1) > 0
+            place = EliasFano(arrays, "context").find(asked[fresh])[np.cumsum(fresh) - 1]
             rows, place = rows[place >= 0], place[place >= 0]
             rest[rows] = LEVELS[arrays["rest"][place]]
             pointers = EliasFano(arrays, "pointer")
@@ -258,9 +261,12 @@ class Model:
             # before a text's first token stands its beginning, and nothing before that
             context[first], seen[first] = (self.words, self.texts) if level == 2 else (-1, 0)
             asked = np.flatnonzero(context >= 0)
-            _, place = np.unique(context[asked], return_inverse=True)
-            _, at, inverse = np.unique(place * self.universe + word[asked], return_index=True, return_inverse=True)
-            at = asked[at]
+            place = context[asked]
+            if int(place.max(initial=0)) + 1 > (1 << 62) // self.universe:
+                _, place = np.unique(place, return_inverse=True)
+            distinct, inverse = np.unique(place * self.universe + word[asked], return_inverse=True)
+            at = np.empty(len(distinct), np.int64)
+            at[inverse] = asked  # any of the tokens that ask for the entry
             step = Step(asked, inverse, context[at], word[at], seen[at])
             now, often = np.full(len(word), -1, np.int64), np.zeros(len(word), np.int64)
             if level <= len(self.base):
@@ -282,23 +288,31 @@ class Model:
 
 def by_file(files: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each file with its rows."""
-    order = np.argsort(files, kind="stable")
+    order = np.argsort(files.astype(np.uint16) if files.max(initial=0) < 1 << 16 else files, kind="stable")  # short numbers are sorted by radix
     edges = np.flatnonzero(np.diff(files[order], prepend=-1, append=-1) if len(order) else np.zeros(0))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         yield int(files[order[a]]), order[a:b]
 
 
-def summed(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """Distinct keys (columns, the first leading) in order, and the sums of their counts."""
+def summed(keys: tuple[np.ndarray, ...], counts: np.ndarray, universe: int = 0) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Distinct keys (columns, the first leading) in order, and the sums of their counts.
+
+    With a universe the keys are context, word below the universe, and what follows from the context; then one number
+    stands for the key if it fits. What comes in ordered runs is only merged.
+    """
     if not len(counts):
         return keys, counts
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
-    keys, counts = tuple(k[order] for k in keys), counts[order]
-    fresh = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
-    return tuple(k[fresh] for k in keys), np.add.reduceat(counts, np.flatnonzero(fresh))
+    if universe and int(keys[0].max()) < (1 << 62) // universe:
+        lead = (keys[0] * universe + keys[1],)
+    else:
+        lead = keys
+    order = np.lexsort(lead[::-1]) if len(lead) > 1 else np.argsort(lead[0], kind="stable")
+    lead = tuple(k[order] for k in lead)
+    at = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in lead], axis=0)]))
+    return tuple(k[order[at]] for k in keys), np.add.reduceat(counts[order], at)
 
 
-def gather(texts: DataFrame, text: str, count, tell) -> DataFrame:
+def gather(texts: DataFrame, text: str, count, tell, universe: int = 0) -> DataFrame:
     """Rows (file, data): what ``count`` finds in passes of texts, summed up in each task and told file by file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +321,7 @@ def gather(texts: DataFrame, text: str, count, tell) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
                 keys = tuple(map(np.concatenate, zip(*(k for k, _ in held), strict=True)))
-                told = list(tell(*summed(keys, np.concatenate([c for _, c in held]))))
+                told = list(tell(*summed(keys, np.concatenate([c for _, c in held]), universe)))
                 held.clear()
                 for a in range(0, len(told), 64):
                     files, data = zip(*told[a : a + 64], strict=True)
@@ -324,13 +338,20 @@ def gather(texts: DataFrame, text: str, count, tell) -> DataFrame:
     return texts.select(text).mapInArrow(run, "file long, data binary")
 
 
-def build(rows: DataFrame, make, result: str) -> list:
-    """One file of the level for each ``file``; what ``make`` tells of each comes back, one row a file."""
+def build(rows: DataFrame, make) -> DataFrame:
+    """One file of the level for each ``file``. What ``make`` tells of them: a row (file, n, tokens) for each, and rows
+    (context, kinds, seen) of contexts that are spread over files."""
 
     def run(table: pa.Table) -> pa.Table:
         return make(table.column("file")[0].as_py(), [unsqueeze(d.as_py()) for d in table.column("data")])
 
-    return rows.groupBy("file").applyInArrow(run, result).collect()
+    return checkpoint(rows.groupBy("file").applyInArrow(run, "file long, n long, tokens long, context long, kinds long, seen long"))
+
+
+def told(file: int, n: int, tokens: int, context: np.ndarray = EMPTY, kinds: np.ndarray = EMPTY, seen: np.ndarray = EMPTY) -> pa.Table:
+    one, rest = [None] * len(context), [None]
+    columns = {"file": [file, *one], "n": [n, *one], "tokens": [tokens, *one], "context": rest + context.tolist(), "kinds": rest + kinds.tolist(), "seen": rest + seen.tolist()}
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in columns.items()})
 
 
 def build_words(model: Model, texts: DataFrame, text: str) -> None:
@@ -346,16 +367,16 @@ def build_words(model: Model, texts: DataFrame, text: str) -> None:
         hashes, counts = hashes[counts > 0], counts[counts > 0]
         width = int(counts.max(initial=0)).bit_length()
         write_file(model.uri(1, file), EliasFano.build(hashes, "hash") | {"count": pack(counts, width), "width": np.array([width])})
-        return pa.table({"file": [file], "n": [len(hashes)], "tokens": [int(counts.sum())]})
+        return told(file, len(hashes), int(counts.sum()))
 
-    found = build(gather(texts, text, count, tell), make, "file long, n long, tokens long")
-    model.tokens = sum(r["tokens"] for r in found)
+    found = build(gather(texts, text, count, tell), make)
+    model.tokens = found.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     model.base.append(bases(found, model.files))
 
 
-def bases(found: list, files: int) -> np.ndarray:
+def bases(found: DataFrame, files: int) -> np.ndarray:
     sizes = np.zeros(files, np.int64)
-    for r in found:
+    for r in found.where(F.col("file").isNotNull()).select("file", "n").collect():
         sizes[r["file"]] = r["n"]
     return np.concatenate([[0], np.cumsum(sizes)])
 
@@ -377,7 +398,7 @@ def build_level(model: Model, level: int, texts: DataFrame, text: str, keep_coun
         for c, runs, seen, word, counts in parts:
             columns.append((np.repeat(np.cumsum(c), runs), word.astype(np.int64), np.repeat(seen, runs), counts.astype(np.int64)))
         *keys, counts = map(np.concatenate, zip(*columns, strict=True))
-        (context, word, seen), counts = summed(tuple(keys), counts)
+        (context, word, seen), counts = summed(tuple(keys), counts, model.universe)
         starts = np.flatnonzero(np.diff(context, prepend=-1))
         runs = np.diff(np.append(starts, len(context)))
         often = seen[starts]
@@ -389,14 +410,12 @@ def build_level(model: Model, level: int, texts: DataFrame, text: str, keep_coun
             arrays |= {"count": pack(counts, width), "width": np.array([width])}
         write_file(model.uri(level, file), arrays)
         hot = often > model.spread_from
-        lists = [context[starts][hot].tolist(), runs[hot].tolist(), often[hot].tolist()]
-        return pa.table({"file": [file], "n": [len(context)], **{k: pa.array([v], pa.list_(pa.int64())) for k, v in zip(("context", "kinds", "seen"), lists, strict=True)}})
-
-    found = build(gather(texts, text, count, tell), make, "file long, n long, context array<long>, kinds array<long>, seen array<long>")
-    spread = [np.array([x for r in found for x in r[k]], np.int64) for k in ("context", "kinds", "seen")]
-    contexts, at = np.unique(spread[0], return_index=True)
-    kinds = np.bincount(np.searchsorted(contexts, spread[0]), weights=spread[1], minlength=len(contexts)) if len(contexts) else np.zeros(0)
-    model.spread.append((contexts, DISCOUNT * kinds / spread[2][at]))
+        return told(file, len(context), 0, context[starts][hot], runs[hot], often[hot])
+
+    found = build(gather(texts, text, count, tell, model.universe), make)
+    spread = found.where(F.col("context").isNotNull()).groupBy("context").agg(F.sum("kinds").alias("kinds"), F.max("seen").alias("seen")).orderBy("context").collect()
+    contexts, kinds, seen = (np.array([r[k] for r in spread], np.int64) for k in ("context", "kinds", "seen"))
+    model.spread.append((contexts, DISCOUNT * kinds / seen))
     model.base.append(bases(found, model.files))
 
 
