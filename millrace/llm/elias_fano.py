@@ -134,7 +134,10 @@ def to_bytes(arrays: dict[str, np.ndarray]) -> Iterable[bytes]:
 def from_file(path: str) -> dict[str, np.ndarray]:
     """The arrays of a file, memory-mapped."""
     with open(path, "rb") as f:
-        mapped = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        return from_bytes(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
+
+
+def from_bytes(mapped: mmap.mmap | bytes) -> dict[str, np.ndarray]:
     line = mapped.find(b"\n") + 1
     base = -(-line // ALIGN) * ALIGN
     return {name: np.ndarray(shape, dtype, mapped, base + at) for name, (dtype, shape, at) in json.loads(mapped[:line]).items()}

@@ -5,7 +5,7 @@ of level n - 1 before it, and a word; its own id is its rank in the level. A lev
 In a file contexts are an Elias-Fano sequence of ids, pointers to their successors one of places, and the successors one
 of (place of the context, word), so that a search looks only between two pointers; each entry has its discounted
 probability, and each context its weight for the shorter context, in 16 bits. The files are memory-mapped in the shared
-folder (or copied once a worker from a store that can't be mapped), and a batch of texts asks each file for its distinct
+folder (or read whole from a store that can't be mapped), and a batch of texts asks each file for its distinct
 entries at once.
 
 P(w | h) = max(c(h w) - d, 0) / c(h) + d T(h) / c(h) * P(w | shorter h), T(h) the number of different successors, with
@@ -18,7 +18,6 @@ id are scored but not learned; without training texts every word has the same pr
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import checkpoint, ensure_checkpoint_dir, passes, utf8
-from millrace.llm.elias_fano import EliasFano, from_file, pack, to_bytes, unpack
+from millrace.llm.elias_fano import EliasFano, from_bytes, from_file, pack, to_bytes, unpack
 from millrace.llm.repetition import mix
 
 #: Length of the longest n-gram, and what is taken off each count.
@@ -45,11 +44,11 @@ ADDED = 0.1
 #: Tokens of training text for each file of a level, and from which count on a context is spread over files.
 FILE_TOKENS, SPREAD = 2_000_000, 200_000
 #: Bytes of text in a pass, and entries that a task counts before it hands them on.
-PASS, HELD = 8 << 20, 3_000_000
+PASS, HELD = 8 << 20, 2_000_000
 #: Steps of a quantised log10 probability; 16 bits of them reach down to 10^-16.
 STEPS = 4000
-#: Open files that a worker keeps.
-OPEN_FILES = 1024
+#: Files that a worker keeps mapped: each pass goes through them in order, and mapping anew is cheap.
+OPEN_FILES = 4
 #: Bytes of a word above which it is hashed by itself.
 LONG_WORD = 256
 
@@ -88,6 +87,11 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def short(numbers: np.ndarray) -> np.ndarray:
+    """The numbers in 32 bits if they fit."""
+    return numbers.astype(np.uint32) if int(numbers.max(initial=0)) < 1 << 32 else numbers
+
+
 def steps_of(sorted_values: np.ndarray) -> np.ndarray:
     return np.diff(sorted_values, prepend=np.zeros(1, sorted_values.dtype))
 
@@ -148,9 +152,8 @@ def read_file(uri: str) -> dict[str, np.ndarray]:
     where, path = arrow_fs.FileSystem.from_uri(uri)
     if isinstance(where, arrow_fs.LocalFileSystem):
         return from_file(path)
-    with tempfile.NamedTemporaryFile() as copy:  # the mapping outlives the name
-        arrow_fs.copy_files(path, copy.name, source_filesystem=where, destination_filesystem=arrow_fs.LocalFileSystem())
-        return from_file(copy.name)
+    with where.open_input_file(path) as f:
+        return from_bytes(f.read())
 
 
 @dataclass
@@ -303,13 +306,13 @@ def summed(keys: tuple[np.ndarray, ...], counts: np.ndarray, universe: int = 0)
     if not len(counts):
         return keys, counts
     if universe and int(keys[0].max()) < (1 << 62) // universe:
-        lead = (keys[0] * universe + keys[1],)
+        lead = (keys[0] * universe + keys[1].astype(np.int64),)
     else:
         lead = keys
     order = np.lexsort(lead[::-1]) if len(lead) > 1 else np.argsort(lead[0], kind="stable")
     lead = tuple(k[order] for k in lead)
     at = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in lead], axis=0)]))
-    return tuple(k[order[at]] for k in keys), np.add.reduceat(counts[order], at)
+    return tuple(k[order[at]] for k in keys), np.add.reduceat(counts[order].astype(np.int64), at)
 
 
 def gather(texts: DataFrame, text: str, count, tell, universe: int = 0) -> DataFrame:
@@ -330,9 +333,9 @@ def gather(texts: DataFrame, text: str, count, tell, universe: int = 0) -> DataF
         for batch in batches:
             raw, at = utf8(batch.column(text))
             for a, b in passes(at, PASS):
-                held.append(count(Tokens(raw[at[a] : at[b]], at[a : b + 1] - at[a])))
                 if sum(len(c) for _, c in held) > HELD:
                     yield from flush()
+                held.append(count(Tokens(raw[at[a] : at[b]], at[a : b + 1] - at[a])))
         yield from flush()
 
     return texts.select(text).mapInArrow(run, "file long, data binary")
@@ -356,11 +359,11 @@ def told(file: int, n: int, tokens: int, context: np.ndarray = EMPTY, kinds: np.
 
 def build_words(model: Model, texts: DataFrame, text: str) -> None:
     def count(t: Tokens):
-        return (t.hashes,), np.bincount(t.index, minlength=len(t.hashes))
+        return (t.hashes,), short(np.bincount(t.index, minlength=len(t.hashes)))
 
     def tell(keys, counts):
         for file, rows in by_file(model.word_file(keys[0])):
-            yield file, squeeze(steps_of(keys[0][rows]), counts[rows].astype(np.uint32))
+            yield file, squeeze(steps_of(keys[0][rows]), counts[rows])
 
     def make(file: int, parts: list) -> pa.Table:
         (hashes,), counts = summed((np.concatenate([np.cumsum(h, dtype=np.uint64) for h, _ in parts]),), np.concatenate([c for _, c in parts]).astype(np.int64))
@@ -384,24 +387,24 @@ def bases(found: DataFrame, files: int) -> np.ndarray:
 def build_level(model: Model, level: int, texts: DataFrame, text: str, keep_counts: bool) -> None:
     def count(t: Tokens):
         *_, step = model.walk(t, level)
-        return (step.context, step.word, step.seen), np.bincount(step.inverse, minlength=len(step.context))
+        return (step.context, short(step.word), short(step.seen)), short(np.bincount(step.inverse, minlength=len(step.context)))
 
     def tell(keys, counts):
         context, word, seen = keys
         for file, rows in by_file(model.entry_file(context, word, seen)):
             c = context[rows]
             starts = np.flatnonzero(np.diff(c, prepend=-1))
-            yield file, squeeze(steps_of(c[starts]), np.diff(np.append(starts, len(c))).astype(np.uint32), seen[rows][starts], word[rows].astype(np.uint32 if model.universe < 1 << 32 else np.uint64), counts[rows].astype(np.uint32))
+            yield file, squeeze(steps_of(c[starts]), np.diff(np.append(starts, len(c))).astype(np.uint32), seen[rows[starts]], word[rows], counts[rows])
 
     def make(file: int, parts: list) -> pa.Table:
         columns = []
         for c, runs, seen, word, counts in parts:
-            columns.append((np.repeat(np.cumsum(c), runs), word.astype(np.int64), np.repeat(seen, runs), counts.astype(np.int64)))
+            columns.append((np.repeat(np.cumsum(c), runs), word, np.repeat(seen, runs), counts.astype(np.int64)))
         *keys, counts = map(np.concatenate, zip(*columns, strict=True))
         (context, word, seen), counts = summed(tuple(keys), counts, model.universe)
         starts = np.flatnonzero(np.diff(context, prepend=-1))
         runs = np.diff(np.append(starts, len(context)))
-        often = seen[starts]
+        often, word = seen[starts].astype(np.int64), word.astype(np.int64)
         arrays = EliasFano.build(context[starts], "context") | EliasFano.build(np.append(starts, len(context)), "pointer")
         arrays |= EliasFano.build(np.repeat(np.arange(len(starts)), runs) * model.universe + word, "successor")
         arrays |= {"p": quantise((counts - DISCOUNT) / seen), "rest": quantise(DISCOUNT * runs / often), "universe": np.array([model.universe])}
