@@ -341,14 +341,14 @@ def gather(texts: DataFrame, text: str, count, tell, universe: int = 0) -> DataF
     return texts.select(text).mapInArrow(run, "file long, data binary")
 
 
-def build(rows: DataFrame, make) -> DataFrame:
-    """One file of the level for each ``file``. What ``make`` tells of them: a row (file, n, tokens) for each, and rows
+def build(rows: DataFrame, files: int, make) -> DataFrame:
+    """One file of the level for each ``file``, in as many tasks. What ``make`` tells of them: a row (file, n, tokens) for each, and rows
     (context, kinds, seen) of contexts that are spread over files."""
 
     def run(table: pa.Table) -> pa.Table:
         return make(table.column("file")[0].as_py(), [unsqueeze(d.as_py()) for d in table.column("data")])
 
-    return checkpoint(rows.groupBy("file").applyInArrow(run, "file long, n long, tokens long, context long, kinds long, seen long"))
+    return checkpoint(rows.repartition(files, "file").groupBy("file").applyInArrow(run, "file long, n long, tokens long, context long, kinds long, seen long"))
 
 
 def told(file: int, n: int, tokens: int, context: np.ndarray = EMPTY, kinds: np.ndarray = EMPTY, seen: np.ndarray = EMPTY) -> pa.Table:
@@ -372,7 +372,7 @@ def build_words(model: Model, texts: DataFrame, text: str) -> None:
         write_file(model.uri(1, file), EliasFano.build(hashes, "hash") | {"count": pack(counts, width), "width": np.array([width])})
         return told(file, len(hashes), int(counts.sum()))
 
-    found = build(gather(texts, text, count, tell), make)
+    found = build(gather(texts, text, count, tell), model.files, make)
     model.tokens = found.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     model.base.append(bases(found, model.files))
 
@@ -415,7 +415,7 @@ def build_level(model: Model, level: int, texts: DataFrame, text: str, keep_coun
         hot = often > model.spread_from
         return told(file, len(context), 0, context[starts][hot], runs[hot], often[hot])
 
-    found = build(gather(texts, text, count, tell, model.universe), make)
+    found = build(gather(texts, text, count, tell, model.universe), model.files, make)
     spread = found.where(F.col("context").isNotNull()).groupBy("context").agg(F.sum("kinds").alias("kinds"), F.max("seen").alias("seen")).orderBy("context").collect()
     contexts, kinds, seen = (np.array([r[k] for r in spread], np.int64) for k in ("context", "kinds", "seen"))
     model.spread.append((contexts, DISCOUNT * kinds / seen))
