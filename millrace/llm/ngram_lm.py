@@ -44,7 +44,7 @@ ADDED = 0.1
 #: Tokens of training text for each file of a level, and from which count on a context is spread over files.
 FILE_TOKENS, SPREAD = 2_000_000, 200_000
 #: Bytes of text in a pass, and entries that a task counts before it hands them on.
-PASS, HELD = 8 << 20, 2_000_000
+PASS, HELD = 4 << 20, 2_000_000
 #: Steps of a quantised log10 probability; 16 bits of them reach down to 10^-16.
 STEPS = 4000
 #: Files that a worker keeps mapped: each pass goes through them in order, and mapping anew is cheap.
