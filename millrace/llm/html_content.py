@@ -4,7 +4,9 @@ Each box (an element that isn't inline) is a variable: content or not. A logisti
 speaks for the box, a potential of two boxes for parent and child, and sum-product messages, up from the leaves and down
 from the root, give every box's marginal. Text in boxes whose marginal is at least a half is the page's text. The
 potentials are learned from labelled pages: a few written for the purpose (:mod:`millrace.llm.labelled_pages`) and a
-bounded sample of pages that mark their article themselves.
+bounded sample of pages that mark their article themselves. Each of these is learned from three times: as it is, with a
+plain ``div`` for the article, and with the article's boxes in the body itself, so that pages which mark nothing are
+judged by what is in them.
 
 Defined cases: null or empty html gives empty text; markup that is cut off or badly nested is closed as browsers do where
 that is simple (a paragraph ends where the next box begins, unknown end tags are skipped); a ``<`` that begins no tag is
@@ -18,7 +20,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,9 @@ RIDGE, COUPLING_RIDGE = 0.05, 0.0055
 
 # Element names of the HTML standard, by what they mean for text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = set("script style noscript template textarea select svg math iframe object title head canvas audio video button".split())
-RAW = set("script style textarea title noscript iframe template".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+UNREAD = set("script style template textarea select datalist button svg iframe title head".split())
+RAW = set("script style textarea title iframe template".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo mrow ms mtext msup msub msubsup mfrac msqrt mroot mover munder font".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = set("ul ol dl table html body div article section main".split())
 #: Element names that are features, and words in class, id and role that are, by what they name.
@@ -64,11 +67,15 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 NAME_PARTS = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 ENDS = (".", "!", "?", "…", ":", ";", "。")
+#: Signs in a short text that it is about the site.
+SITE = re.compile(r"©|\(c\)\s|copyright|rights reserved|cookies|imprint|sponsored|subscribe|privacy", re.I)
+#: Words of a text above which such signs mean nothing.
+SITE_WORDS = 40
 
 #: Log odds against the root, which stands for the page as a whole.
 ROOT = 12.0
 
-FEATURES = ["bias", *(f"tag {t}" for t in TAGS), "tag other", *(f"named {w}" for w in WORDS), "hidden", "link share", "words", "sentences", "has text", "top", "deep"]
+FEATURES = ["bias", *(f"tag {t}" for t in TAGS), "tag other", *(f"named {w}" for w in WORDS), "hidden", "link share", "words", "sentences", "has text", "top", "deep", "site", "in mark", "siblings", "share"]
 PLACE = {f: i for i, f in enumerate(FEATURES)}
 
 
@@ -199,12 +206,21 @@ def own_text(page: Page) -> list[str]:
 
 
 def features(page: Page) -> np.ndarray:
-    """A row of numbers for each box."""
+    """A row of numbers for each box; pages that mark an article or main element and others have columns of their own."""
     n = len(page.tags)
-    out = np.zeros((n, len(FEATURES)))
+    marked = [t in ("article", "main") for t in page.tags]
+    any_mark = any(marked)
+    both = np.zeros((n, 2 * len(FEATURES)))
+    out = both[:, : len(FEATURES)] if any_mark else both[:, len(FEATURES) :]
     out[:, 0] = 1
-    depth = [0] * n
-    for i, (tag, attributes, text) in enumerate(zip(page.tags, page.attributes, own_text(page), strict=True)):
+    depth, texts = [0] * n, own_text(page)
+    # words of text that isn't linked: of each box, of it and all below it, and of its parent's boxes together
+    size = [(t.count(" ") + 1) * max(0.0, 1 - page.linked[i] / len(t)) if t else 0.0 for i, t in enumerate(texts)]
+    below, beside = size[:], [0.0] * n
+    for i in range(n - 1, 0, -1):
+        below[page.parents[i]] += below[i]
+        beside[page.parents[i]] += size[i]
+    for i, (tag, attributes, text) in enumerate(zip(page.tags, page.attributes, texts, strict=True)):
         row = out[i]
         row[PLACE.get(f"tag {tag}", PLACE["tag other"])] = 1
         depth[i] = depth[page.parents[i]] + 1 if i else 0
@@ -221,9 +237,15 @@ def features(page: Page) -> np.ndarray:
             row[PLACE["link share"]] = min(1.0, page.linked[i] / len(text))
             row[PLACE["words"]] = math.log1p(words) / 5
             row[PLACE["sentences"]] = text.endswith(ENDS)
+            row[PLACE["site"]] = words <= SITE_WORDS and bool(SITE.search(text))
+        if i:
+            marked[i] = marked[i] or marked[page.parents[i]]
+            row[PLACE["siblings"]] = math.log1p(beside[page.parents[i]]) / 5
+        row[PLACE["in mark"]] = marked[i]
+        row[PLACE["share"]] = below[i] / below[0] if below[0] else 0.0
         row[PLACE["top"]] = depth[i] <= 2
         row[PLACE["deep"]] = min(depth[i], 12) / 12
-    return out
+    return both
 
 
 @dataclass
@@ -285,6 +307,27 @@ def self_labelled(page: Page) -> np.ndarray | None:
     return labels_of(page, marks, [t in NEVER for t in page.tags])
 
 
+def unmarked(page: Page) -> Page:
+    """The page with plain boxes in place of articles."""
+    return replace(page, tags=["div" if t == "article" else t for t in page.tags], attributes=["" if t == "article" else a for t, a in zip(page.tags, page.attributes, strict=True)])
+
+
+def unwrapped(page: Page, labels: np.ndarray) -> tuple[Page, np.ndarray]:
+    """The page and its labels with articles taken out and their boxes and text in what held them."""
+    gone = [t == "article" for t in page.tags]
+    place, up = list(accumulate((not g for g in gone), initial=0)), list(range(len(gone)))
+    for i in range(1, len(gone)):
+        if gone[i]:
+            up[i] = up[page.parents[i]]
+    stays = [i for i, g in enumerate(gone) if not g]
+    linked = [0] * len(stays)
+    for i, n in enumerate(page.linked):
+        linked[place[up[i]]] += n
+    parents = [place[up[page.parents[i]]] if i else -1 for i in stays]
+    blocks = [(place[up[b]], t) for b, t in page.blocks]
+    return Page([page.tags[i] for i in stays], parents, [page.attributes[i] for i in stays], blocks, linked), labels[stays]
+
+
 def couplings(page: Page, labels: np.ndarray) -> np.ndarray:
     """How each pair potential (parent label, child label: 00, 01, 10, 11) moves each box's log odds, its relatives' labels given."""
     out = np.zeros((len(labels), 4))
@@ -325,15 +368,15 @@ def fit(pages: DataFrame, key: str = "page_id", source: str = "html", *, sample:
     usable = pages.where(F.col(key).isNotNull() & (F.length(source) <= chars))
     n = usable.count()
     share = min(1.0, sample / max(n, 1))
-    chosen = usable.where(F.pmod(F.xxhash64(key), F.lit(span)) < F.lit(int(share * span))).select(F.xxhash64(key).alias("h"), F.col(source).alias("s")).limit(2 * sample).collect()
+    chosen = usable.where(F.pmod(F.xxhash64(key), F.lit(span)) < F.lit(int(share * span))).select(F.xxhash64(key).alias("h"), F.col(source).alias("s")).orderBy("h", "s").limit(2 * sample).collect()
     found = []
     for row in sorted(chosen, key=lambda r: (r["h"], r["s"])):
         page = parse(row["s"])
         labels = self_labelled(page)
         if labels is not None:
-            found.append((page, labels, 1.0))
+            found += [(page, labels, 1 / 3), (unmarked(page), labels, 1 / 3), (*unwrapped(page, labels), 1 / 3)]
     written = labelled_pages()
-    boxes = sum(len(p.tags) for p, _, _ in found)
+    boxes = sum(len(p.tags) for p, _, _ in found) / 3
     weight = max(1.0, boxes / max(1, sum(len(p.tags) for p, _ in written)))
     return learn([*((p, y, weight) for p, y in written), *found])
 

@@ -38,6 +38,22 @@ PAGES = [
     f"<html><body><div class='popup' style='display:none'><p>Take our survey and win a cruise for two.</p></div><article data-y='1'><h1>The last ferry</h1><p>{LONG}</p><p>{LONG}</p><p>{SHORT}</p><aside data-y='0'><p>{MIDDLE}</p></aside><p>{MIDDLE}</p></article>{FOOT}</body></html>",
 ]
 
+PAGES += [
+    f"<html><body data-y='1'>{LONG}<p data-y='1'>{MIDDLE}</p>{SHORT}</body></html>",
+    f"<html><body data-y='1'><h1 data-y='1'>The last ferry</h1>{LONG}<br>{MIDDLE}<br>{SHORT}<br>{LONG}</body></html>",
+    f"<html><body data-y='1'><div class='menu' data-y='0'>{MENU}</div>{LONG}<br><br>{LONG}<br>{MIDDLE}<div class='footer' data-y='0'>All rights reserved.</div></body></html>",
+    f"<html><body data-y='1'>{LONG}</body></html>",
+    f"<html><body data-y='1'>{SHORT}</body></html>",
+    f"<body><table><tr><td colspan=2>Harbour News</td></tr><tr><td>{MENU}</td><td data-y='1'><h2>The last ferry</h2><p>{LONG}</p><p>{MIDDLE}</p><p>{SHORT}</p></td></tr><tr><td colspan=2>&copy; Harbour News</td></tr></table></body>",
+    f"<body><table width='100%'><tr><td>{MENU}</td></tr><tr><td data-y='1'>{LONG}<br>{MIDDLE}<br>{LONG}</td></tr><tr><td>Imprint. Mail to the editors.</td></tr></table></body>",
+    f"<body><table><tr><td valign='top'><a href='/'>Home</a><br><a href='/n'>News</a><br><a href='/a'>About us</a></td><td data-y='1'><b>The last ferry</b><br>{LONG}<p>{MIDDLE}<p>{LONG}</td><td><a href='/1'>Ten bridges to see</a><br><a href='/2'>Why the tram came back</a></td></tr></table></body>",
+    f"<body><center><a href='/'>Home</a> | <a href='/n'>News</a></center><div data-y='1'><div><font size=4>The last ferry</font></div><div>{LONG}</div><div>{MIDDLE}</div><div>{SHORT}</div></div><center>&copy; 2004 Harbour News</center></body>",
+    f"<body><div><div>{MENU}</div><div data-y='1'><h1>The last ferry</h1><div><p>{LONG}</p><p>{SHORT}</p></div><div><p>{MIDDLE}</p></div></div><div><a href='/i'>Imprint</a> <a href='/c'>Contact</a></div></div></body>",
+    f"<body><div><a href='/'>Home</a> <a href='/n'>News</a></div><h1 data-y='1'>The last ferry</h1><p data-y='1'>{SHORT}</p><p data-y='1'>{LONG}</p><ul data-y='1'><li>{MIDDLE}</li><li>The lamps were lit.</li></ul><p data-y='1'>{MIDDLE}</p><div>&copy; Harbour News</div></body>",
+    f"<body><pre data-y='1'>{LONG} {MIDDLE} {SHORT}</pre></body>",
+    f"<body><div class='menu'>{MENU}</div><dl data-y='1'><dt>Ferry</dt><dd>{LONG}</dd><dt>Tram</dt><dd>{MIDDLE}</dd></dl><div class='comments'><p>{SHORT}</p></div></body>",
+]
+
 
 def labelled_pages() -> list[tuple[Page, np.ndarray]]:
     out = []

@@ -1,11 +1,14 @@
 import itertools
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm import unmarked_pages
 from millrace.llm import html_content, labelled_pages
 from millrace.llm.html_content import parse
 
@@ -65,3 +68,40 @@ def test_extract(spark):
         want = "" if r.page_id in (2, 3) else "Title é\nFirst paragraph here, with enough words to be one.\nSecond one."
         assert (r.text, r.n_chars) == (want, len(want))
     assert html_content.extract(pages.limit(0), html_content.fit(pages.limit(0))).count() == 0
+
+
+def main_text(source):
+    page = parse(source)
+    labels = html_content.self_labelled(page)
+    return "\n".join(t for b, t in page.blocks if labels[b])
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    return html_content.fit(pages.where("page_id % 2 = 0"))
+
+
+def test_pages_without_an_article(fitted):
+    hit = got = want = 0
+    for source, text in unmarked_pages.PAGES:
+        a, b = Counter(fitted.extract(source).split()), Counter(text.split())
+        hit, got, want = hit + sum((a & b).values()), got + sum(a.values()), want + sum(b.values())
+    assert hit / got > 0.95 and hit / want > 0.95
+
+
+def test_the_tables_pages_with_and_without_their_mark(spark, fitted):
+    sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").where("page_id % 2 = 1").collect()]
+    wants = list(map(main_text, sources))
+    assert [fitted.extract(s) for s in sources] == wants
+    for stripped in ([re.sub("(</?)article", r"\1div", s) for s in sources], [re.sub("</?article>", "", s) for s in sources]):
+        assert sum(fitted.extract(s) == w for s, w in zip(stripped, wants, strict=True)) > 0.9 * len(sources)
+
+
+def test_unwrapped_pages_have_the_same_text_and_labels():
+    page = parse("<body><nav>x</nav><article>a<p>b</p><section><p>c</p></section></article><p>d</p></body>")
+    labels = html_content.self_labelled(page)
+    bare, kept = html_content.unwrapped(page, labels)
+    assert "article" not in bare.tags and [t for _, t in bare.blocks] == [t for _, t in page.blocks]
+    assert bare.parents == parse("<body><nav>x</nav>a<p>b</p><section><p>c</p></section><p>d</p></body>").parents
+    assert [kept[b] for b, _ in bare.blocks] == [0, 0, 1, 1, 0]
