@@ -7,7 +7,8 @@ axes can add at most is the product of the residual lengths, and only pairs that
 next axes and at last their exact integer product. The rotation and the first scores only prune: every candidate is
 either compared or ruled out by a bound.
 
-Queries go out in blocks of bounded size, each compared with all candidates in one pass.
+Queries lie in files of bounded blocks in the shared folder, each with what the longest candidates give as its first
+scores. One job compares them: a task takes its range of candidates, a bounded part at a time, through the blocks.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and rows without an id take no part;
 shorter vectors are as if filled up with zeros; rows that repeat an id are never each other's candidates, and count for
@@ -22,14 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.common import ensure_checkpoint_dir
 
-#: Queries compared in one pass; sampled vectors for the rotation; longest vectors that give the first scores.
+#: Queries of a block on average; sampled vectors for the rotation; longest vectors that give the first scores.
 QUERY_BLOCK, SAMPLE_ROWS, SEED_ROWS = 2048, 4096, 2048
+#: Components of candidates that a task holds at once.
+HELD = 1 << 22
 #: Candidates compared at once, and the leading axes compared in turn.
 ROWS, AXES = 1024, (8, 24)
 #: What rounding may add to a bound, in units of the lengths' product.
@@ -76,83 +81,115 @@ def best(query: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> np.
     return order[np.arange(len(q)) - first < k]
 
 
-class Search:
-    """A block of queries, and the best scores found so far."""
+class Candidates:
+    """Vectors of about one length, with their lengths, and on the rotated axes with what the axes after AXES leave."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, axes: np.ndarray, k: int):
-        self.ids, self.vectors, self.axes, self.k = ids, vectors, axes, k
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, axes: np.ndarray):
+        self.ids, self.vectors = ids, vectors
         self.turned = vectors @ axes
         self.norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
-        self.rest = [self._rest(self.turned, a) for a in AXES]
-        self.query, self.score, self.found = (np.zeros(0, np.int64) for _ in range(3))
-        self.least = np.full(len(ids), -np.inf)
+        self.rest = [np.sqrt((self.turned[:, a:] ** 2).sum(axis=1)) for a in AXES]
+
 
-    @staticmethod
-    def _rest(turned: np.ndarray, a: int) -> np.ndarray:
-        return np.sqrt((turned[:, a:] ** 2).sum(axis=1))
+class Search:
+    """A block of queries, and the best scores found so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, axes: np.ndarray, k: int, least: np.ndarray | None = None):
+        self.asked, self.axes, self.k = Candidates(ids, vectors, axes), axes, k
+        self.query, self.score, self.found = (np.zeros(0, np.int64) for _ in range(3))
+        self.least = np.full(len(ids), -np.inf) if least is None else least
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """Compare with vectors of about one length; queries that can't gain from the longest of them are left out."""
-        norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
-        open_ = np.flatnonzero(self.norms * norms.max(initial=0.0) * (1 + SLACK) + SLACK >= self.least)
+        self.compare(Candidates(ids, vectors, self.axes))
+
+    def compare(self, some: Candidates) -> None:
+        """Compare with candidates; queries that can't gain from the longest of them are left out."""
+        asked = self.asked
+        open_ = np.flatnonzero(asked.norms * some.norms.max(initial=0.0) * (1 + SLACK) + SLACK >= self.least)
         if not len(open_):
             return
-        turned = vectors @ self.axes
-        a = AXES[0]
-        bound = self.turned[open_, :a] @ turned[:, :a].T + np.outer(self.rest[0][open_], self._rest(turned, a))
-        slack = SLACK * np.outer(self.norms[open_], norms) + SLACK
+        a, b = AXES
+        bound = asked.turned[open_, :a] @ some.turned[:, :a].T + np.outer(asked.rest[0][open_], some.rest[0])
+        slack = SLACK * np.outer(asked.norms[open_], some.norms) + SLACK
         i, j = np.nonzero(bound + slack >= self.least[open_][:, None])
         slack, i = slack[i, j], open_[i]
-        b = AXES[1]
-        rest = self._rest(turned, b)
         keep = np.empty(len(i), bool)
         for c in range(0, len(i), 1 << 17):
             s = slice(c, c + (1 << 17))
-            keep[s] = np.einsum("ij,ij->i", self.turned[i[s], :b], turned[j[s], :b]) + self.rest[1][i[s]] * rest[j[s]] + slack[s] >= self.least[i[s]]
-        keep &= self.ids[i] != ids[j]
+            keep[s] = np.einsum("ij,ij->i", asked.turned[i[s], :b], some.turned[j[s], :b]) + asked.rest[1][i[s]] * some.rest[1][j[s]] + slack[s] >= self.least[i[s]]
+        keep &= asked.ids[i] != some.ids[j]
         i, j = i[keep], j[keep]
         score = np.empty(len(i), np.int64)
         for c in range(0, len(i), 1 << 17):
             s = slice(c, c + (1 << 17))
-            score[s] = np.einsum("ij,ij->i", self.vectors[i[s]], vectors[j[s]])
+            score[s] = np.einsum("ij,ij->i", asked.vectors[i[s]], some.vectors[j[s]])
         good = score >= self.least[i]
-        self._take(i[good], score[good], ids[j[good]])
+        self._take(i[good], score[good], some.ids[j[good]])
 
     def _take(self, query: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
         query, score, ident = (np.concatenate(x) for x in ((self.query, query), (self.score, score), (self.found, ident)))
         kept = best(query, score, ident, self.k)
         self.query, self.score, self.found = query[kept], score[kept], ident[kept]
-        full = np.flatnonzero(np.bincount(self.query, minlength=len(self.ids)) == self.k)
+        full = np.flatnonzero(np.bincount(self.query, minlength=len(self.asked.ids)) == self.k)
         last = np.searchsorted(self.query, full, "right") - 1
         self.least[full] = np.maximum(self.least[full], self.score[last])
 
-    def seeded(self) -> Search:
-        """A search that keeps only the k-th scores of this one, as bounds."""
-        out = Search(self.ids, self.vectors, self.axes, self.k)
-        out.least = self.least.copy()
-        return out
+
+def parts(batches: Iterator[pa.RecordBatch], axes: np.ndarray) -> Iterator[list[Candidates]]:
+    """Batches in lists of at most HELD components together, each in blocks of ROWS."""
+    width, held, rows = axes.shape[0], [], 0
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            part = batch.slice(a, ROWS)
+            if held and (rows + part.num_rows) * width > HELD:
+                yield held
+                held, rows = [], 0
+            held.append(Candidates(part.column("vec_id").to_numpy(), matrix(part.column("v"), width), axes))
+            rows += part.num_rows
+    if held:
+        yield held
 
 
-def scan(candidates: DataFrame, block: Search) -> DataFrame:
-    """Each task's best candidates of the block's queries."""
-    width, sent = block.axes.shape[0], candidates.sparkSession.sparkContext.broadcast(block)
+def write_blocks(queries: DataFrame, seeds: tuple[np.ndarray, np.ndarray], axes: np.ndarray, k: int, folder: str) -> list[str]:
+    """Files of queries (vec_id, v, least: the k-th score among the seeds); their addresses."""
+    sent = queries.sparkSession.sparkContext.broadcast((seeds, axes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = sent.value.seeded()
+        (ids, vectors), axes = sent.value
+        longest = [Candidates(ids[a : a + ROWS], vectors[a : a + ROWS], axes) for a in range(0, len(ids), ROWS)]
         for batch in batches:
-            for a in range(0, batch.num_rows, ROWS):
-                part = batch.slice(a, ROWS)
-                search.add(part.column("vec_id").to_numpy(), matrix(part.column("v"), width))
-        if len(search.query):
-            yield pa.RecordBatch.from_arrays([pa.array(search.ids[search.query]), pa.array(search.found), pa.array(search.score)], names=["query_id", "vec_id", "score"])
+            block = Search(batch.column("vec_id").to_numpy(), matrix(batch.column("v"), axes.shape[0]), axes, k)
+            for some in longest:
+                block.compare(some)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(block.least)], names=["vec_id", "v", "least"])
+
+    queries.mapInArrow(run, "vec_id long, v array<long>, least double").write.parquet(folder)
+    where, path = arrow_fs.FileSystem.from_uri(folder)
+    return sorted(f.path for f in where.get_file_info(arrow_fs.FileSelector(path)) if f.path.endswith(".parquet"))
+
+
+def scan(candidates: DataFrame, folder: str, blocks: list[str], axes: np.ndarray, k: int) -> DataFrame:
+    """For each range of candidates, the best of it for each query that it can give one of its k best."""
+    sent = candidates.sparkSession.sparkContext.broadcast((axes, blocks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        axes, blocks = sent.value
+        where, _ = arrow_fs.FileSystem.from_uri(folder)
+        for held in parts(batches, axes):
+            for path in blocks:
+                for block in pq.ParquetFile(path, filesystem=where).iter_batches(QUERY_BLOCK):
+                    search = Search(block.column("vec_id").to_numpy(), matrix(block.column("v"), axes.shape[0]), axes, k, block.column("least").to_numpy().copy())
+                    for some in held:
+                        search.compare(some)
+                    if len(search.query):
+                        yield pa.RecordBatch.from_arrays([pa.array(search.asked.ids[search.query]), pa.array(search.found), pa.array(search.score)], names=["query_id", "vec_id", "score"])
 
     return candidates.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
-def rows_of(df: DataFrame, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def rows_of(df: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and vectors of a bounded table, on the driver."""
     got = df.select(F.col("vec_id").cast("long"), "v").toArrow()
-    width = width or max([1, *(len(x) for x in got.column("v"))])
     return got.column("vec_id").to_numpy().astype(np.int64), matrix(got.column("v"), width)
 
 
@@ -161,22 +198,17 @@ def search(vectors: DataFrame, is_query: str, k: int = 5, key: str = "vec_id", v
     spark = vectors.sparkSession
     ready = integers(vectors, key, vector)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/topk-{uuid.uuid4().hex}"
-    ready.repartitionByRange(F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id").write.parquet(f"{folder}/candidates")
-    ready = spark.read.parquet(f"{folder}/candidates")
     facts = ready.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"), F.count(F.when(F.expr(is_query), 1)).alias("queries")).first()
-    width = max(facts["width"] or 0, AXES[-1] + 1)
-    share = min(1.0, SAMPLE_ROWS / max(facts["n"], 1))
-    _, sample = rows_of(ready.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 31)) < F.lit(int(share * (1 << 31)))).limit(2 * SAMPLE_ROWS), width)
+    n, width = facts["n"], max(facts["width"] or 0, AXES[-1] + 1)
+    ranges = max(1, -(-n * width // HELD), min(-(-n // ROWS), spark.sparkContext.defaultParallelism))
+    ready.repartitionByRange(ranges, F.desc("norm2"), F.col("vec_id")).sortWithinPartitions(F.desc("norm2"), "vec_id").write.parquet(f"{folder}/candidates")
+    ready = spark.read.schema("vec_id long, v array<long>, norm2 double").parquet(f"{folder}/candidates")
+    share = min(1.0, SAMPLE_ROWS / max(n, 1))
+    _, sample = rows_of(ready.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 31)) < F.lit(int(share * (1 << 31)))).orderBy("vec_id", "v").limit(2 * SAMPLE_ROWS), width)
     axes = np.linalg.svd((sample.T @ sample).astype(np.float64))[0]
-    seed_ids, seeds = rows_of(ready.orderBy(F.desc("norm2"), "vec_id").limit(SEED_ROWS), width)
-    blocks = max(1, -(-facts["queries"] // query_block))
-    asking = ready.where(is_query)
-    for b in range(blocks):
-        ids, asked = rows_of(asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).groupBy("vec_id").agg(F.min("v").alias("v")), width)
-        block = Search(ids, asked, axes, k)
-        for a in range(0, len(seed_ids), ROWS):
-            block.add(seed_ids[a : a + ROWS], seeds[a : a + ROWS])
-        scan(ready, block).write.mode("append").parquet(f"{folder}/found")
-    found = spark.read.schema("query_id long, vec_id long, score long").parquet(f"{folder}/found").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    seeds = rows_of(ready.orderBy(F.desc("norm2"), "vec_id").limit(SEED_ROWS), width)
+    asking = ready.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(max(1, -(-facts["queries"] // query_block)), "vec_id")
+    blocks = write_blocks(asking, seeds, axes, k, f"{folder}/queries")
+    found = scan(ready, folder, blocks, axes, k).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
