@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from millrace.llm import pretokens
 from millrace.llm.common import passes, utf8
 
-#: Pieces whose result a worker keeps; the cache is emptied when it is full.
-CACHE_PIECES = 200_000
+#: Pieces whose result a worker keeps, and their characters at most; the cache is emptied when it is full.
+CACHE_PIECES, CACHE_CHARS = 200_000, 128
 #: Above every rank.
 NO_RANK = 1 << 62
 #: Longer pieces are merged with a heap.
@@ -121,7 +121,9 @@ class Cache(dict):
         self.make, self.most = make, most
 
     def __missing__(self, piece: str):
-        self[piece] = found = self.make(piece)
+        found = self.make(piece)
+        if len(piece) <= CACHE_CHARS:
+            self[piece] = found
         return found
 
     def trim(self) -> None:

@@ -7,7 +7,8 @@ Counts of whole pieces are kept in a bounded cache; a text's count is the sum ov
 text comes from the piece that holds the cut, without encoding again.
 
 Defined cases: a null text counts as empty, with no tokens; special tokens inside a text count as one token each, as the
-library's default has it; pieces of any length are counted whole.
+library's default has it; pieces of any length are counted whole, a byte of them looking back along a trie of reversed
+tokens and no further than the token that fits.
 """
 
 from __future__ import annotations
@@ -38,7 +39,14 @@ class Counter:
         self.special = tuple(special or ())
         # a token must come out as itself when its own bytes are merged
         self.ids = {t: i for t, i in ids.items() if len(t) == 1 or self._made_of(t, ids)}
-        self.longest = max(map(len, self.ids))
+        #: a trie of the tokens read from their ends: (node, byte) to node, and the token that a node ends
+        self.step: dict[int, int] = {}
+        self.ends: dict[int, int] = {}
+        for t, i in self.ids.items():
+            node = 0
+            for b in reversed(t):
+                node = self.step.setdefault(node << 8 | b, len(self.step) + 1)
+            self.ends[node] = i
         self.pair_id: dict[tuple[int, int], int] = {}
         #: of a token, its tokens along the left and the right edge, smallest first
         self.left_edge: dict[int, list[int]] = {}
@@ -96,16 +104,18 @@ class Counter:
 
     def prefixes(self, piece: bytes) -> list[int]:
         """Tokens of piece[:i] for every i from 0 to its length."""
-        n, get, apart = len(piece), self.ids.get, self.apart
+        n, step, ends, apart = len(piece), self.step.get, self.ends.get, self.apart
         count, last = [0] * (n + 1), [-1] * (n + 1)
         for i in range(1, n + 1):
-            for a in range(max(0, i - self.longest), i):
-                t = get(piece[a:i])
+            node = 0
+            for a in range(i - 1, -1, -1):
+                node = step(node << 8 | piece[a])
+                if node is None:
+                    raise ValueError("the vocabulary lacks a byte")
+                t = ends(node)
                 if t is not None and (a == 0 or apart(last[a], t)):
                     count[i], last[i] = count[a] + 1, t
                     break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
         return count
 
     def _count(self, piece: str) -> int:
