@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Training windows a language has on average at most, and their characters: the bound of the fitted sample.
-WINDOWS, WINDOW_CHARS = 600, 300
+#: Languages that are learned at most (those of most texts), training windows a language has on average at most, and
+#: their characters: the bound of the fitted sample.
+LANGUAGES, WINDOWS, WINDOW_CHARS = 256, 210, 300
 #: Bytes of a language's dictionary, of a block, and zstandard's level.
 DICT_BYTES, BLOCK_BYTES, LEVEL = 64 << 10, 2 << 10, 5
 #: A text is rejected if the second best size is less than this share above the best.
@@ -30,15 +31,16 @@ MIN_MARGIN = 0.004
 LETTER = r"\p{L}"
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", *, windows: int = WINDOWS, window_chars: int = WINDOW_CHARS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", *, windows: int = WINDOWS, window_chars: int = WINDOW_CHARS, dict_bytes: int = DICT_BYTES, languages: int = LANGUAGES) -> dict[str, bytes]:
     """A dictionary's content for each language, from one window of each of about ``windows`` of its texts.
 
-    The driver holds one count a language and the windows: languages x windows x window_chars characters.
+    The driver holds the windows: languages x windows x window_chars characters. A dictionary that comes out longer than
+    ``dict_bytes`` (longer characters, or more windows than the average) keeps its end.
     """
     usable = train.where(F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(
         F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.xxhash64(F.col(key)).alias("_h")
     )
-    counts = {r["_lang"]: r["n"] for r in usable.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["_lang"]: r["n"] for r in usable.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(languages).collect()}
     if not counts:
         return {}
     share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(int(min(1.0, windows / n) * (1 << 31))))])

@@ -7,7 +7,7 @@ that scoring is a projection without Python.
 Defined cases: a null text counts as empty, and an empty text is scored by its statistics, all zero; null labels and ids
 do not train; a document with several label rows has their majority, and 1 on a tie; without labelled rows every score
 is 0.5, and with labels of one kind it is that kind's share with one added to either side. Other columns pass through;
-columns of the input that carry the names of the results are replaced.
+columns of the input that carry the names of the results, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -150,5 +150,5 @@ def predict(docs: DataFrame, model: Model, text: str = "text", *, threshold: flo
     row = F.col("_row")
     measured, _ = statistics(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text")), "_text")
     scored = measured.select("_row", model.score().alias("_score"))
-    kept = [row.getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")]
+    kept = [row.getField(c).alias(c) for c in docs.columns if c.lower() not in ("score", "predicted")]
     return scored.select(*kept, F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))

@@ -1,9 +1,11 @@
 import random
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id
+from millrace.llm import language_id, queries
+from millrace.llm.common import fold
 
 WORDS = {
     "en": "the of and to in that was with for on from have this which not are they one were there been would their".split(),
@@ -52,3 +54,33 @@ def test_nothing_learned(docs, spark):
     only = language_id.predict(docs, {"en": b"one two three"})
     assert only.where("lang_pred = 'en' and score = 1.0 and accepted").count() > 0
     assert language_id.predict(docs.limit(0), {"en": b"x"}).count() == 0
+
+
+def brute_language(text, learned):
+    """Each 2 KiB block compressed for itself with each language's content before it; the smallest sum, the first name of equals."""
+    if not learned or text is None or not any(c.isalpha() for c in text):
+        return "und"
+    raw, sums = text.lower().encode("utf-8", "replace"), {}
+    for name, content in learned.items():
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        tool = lambda: zstandard.ZstdCompressor(level=5, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)  # noqa: E731, B023
+        d.precompute_compress(level=5)
+        sums[name] = sum(len(tool().compress(raw[i : i + 2048])) for i in range(0, len(raw), 2048))
+    return min(sorted(sums), key=sums.get)
+
+
+def test_the_query_is_that_of_brute_force_and_right_on_held_out_texts(spark):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    learned = language_id.fit(language_id.training(docs, fold("doc_id", 5) == 0))
+    texts = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
+    got = queries.op8_language_id(spark, d).collect()
+    assert len(got) == len(texts)
+    assert all(r.lang_pred == brute_language(texts[r.doc_id][0], learned) for r in got)
+    held = [r for r in got if r.held_out and texts[r.doc_id][1] is not None]
+    assert sum(r.lang_pred == texts[r.doc_id][1] for r in held) >= 0.9 * len(held) > 0
+
+
+def test_languages_of_most_texts_are_learned(world):
+    assert sorted(language_id.fit(world.where("lang <> 'fr' or doc_id < 20"), languages=2)) == ["de", "en"]
+    assert all(len(content) <= 1000 for content in language_id.fit(world, dict_bytes=1000).values())

@@ -1,9 +1,12 @@
+import math
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import rule_ensemble
+from millrace.llm import queries, rule_ensemble
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +61,56 @@ def test_odd_texts_and_columns(docs, world):
     assert got.where("score is null or predicted is null").count() == 0
     assert got.where("_s_chars = 'x' and _words = 1").count() == docs.count()
     assert rule_ensemble.predict(docs.limit(0), model).count() == 0
+
+
+def brute_statistics(text):
+    """The statistics counted in Python, one by one."""
+    t = text or ""
+    words = [w for w in re.split("[\x20\x09-\x0D]+", t) if w]
+    lines = [x for x in t.split("\n") if x.strip(" ")]
+    n, m, k = max(1, len(t)), max(1, len(words)), max(1, len(lines))
+    kind = lambda c: unicodedata.category(c)
+    return {
+        "_s_chars": len(t), "_s_words": len(words), "_s_word_length": sum(map(len, words)) / m,
+        "_s_upper": sum(kind(c) == "Lu" for c in t) / n, "_s_digits": sum(kind(c)[0] == "N" for c in t) / n,
+        "_s_symbols": sum(c in "#*$%&|<>" for c in t) / n, "_s_exclaims": sum(c in "!?" for c in t) / n,
+        "_s_bars": t.count("|") / n, "_s_letters": sum(kind(c)[0] == "L" for c in t) / n,
+        "_s_distinct_words": math.log1p(len(set(words))) / math.log1p(m),
+        "_s_repeats": sum(a == b for a, b in zip(words, words[1:], strict=False)) / m,
+        "_s_distinct_lines": len(set(lines)) / k, "_s_line_words": len(words) / k,
+        "_s_line_marks": sum(c in ".,;:" for c in t) / n,
+    }
+
+
+def test_statistics_and_rules_are_those_of_brute_force(spark, docs):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = docs.select((F.col("doc_id") + 10_000_000).alias("doc_id"), "text").where("doc_id is not null")
+    both = table.unionByName(odd)
+    measured, names = rule_ensemble.statistics(both)
+    rows = measured.select("text", *names).collect()
+    for r in rows:
+        want = brute_statistics(r.text)
+        assert all(abs(r[n] - want[n]) < 1e-9 for n in names), (r.text[:80] if r.text else r.text, [(n, r[n], want[n]) for n in names if abs(r[n] - want[n]) >= 1e-9])
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = rule_ensemble.fit(table, labels, "quality")
+    for r in rule_ensemble.predict(both, model).collect():
+        s = brute_statistics(r.text)
+        total = model.intercept + sum(w for rule, w in model.rules if all(above < s[n] <= upto for n, above, upto in rule.bounds))
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9 and r.predicted == (r.score >= 0.3)
+
+
+def test_the_query_is_right_on_held_out_labels(spark):
+    d = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality").distinct()
+    got = queries.op4_rule_ensemble(spark, d)
+    assert got.count() == spark.read.parquet(f"{d}/documents.parquet").count()
+    held = got.where("held_out").join(labels, "doc_id")
+    assert held.where("predicted = quality").count() >= 0.95 * held.count() > 0
+
+
+def test_names_in_other_cases_are_replaced(world, spark):
+    docs, labels = world
+    model = rule_ensemble.fit(docs, labels, "quality")
+    got = rule_ensemble.predict(docs.withColumn("Score", F.lit("x")).withColumn("PREDICTED", F.lit("y")), model)
+    assert sorted(c.lower() for c in got.columns) == ["doc_id", "predicted", "score", "text"]
+    assert got.where("score < 0 or score > 1").count() == 0
