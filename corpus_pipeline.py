@@ -1,6 +1,12 @@
 """From raw documents to packed sequences: language, quality, near-duplicates, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns rows that the next one reads from Parquet.
+
+Defined cases: texts that are null, or without a letter, have no known language and go in the first stage, however long
+or short others are; nulls in other columns change nothing but that a null id never trains; a row that ties with another
+(equal texts, equal ids, wholly equal rows) is judged like it by the first two stages, and of a group of near-duplicates
+one row stays, whether ids repeat or are null; an empty table gives an empty result in each stage; extra columns pass
+through, even if they have the names of results, until the last stage, which returns pieces.
 """
 
 from __future__ import annotations
@@ -16,14 +22,14 @@ from millrace.llm.common import ensure_checkpoint_dir, fold, fresh, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear."""
+    """Documents whose language is clear; without a training text there is none."""
     learned = language_id.fit(language_id.training(docs, fold("doc_id", 5) == 0))
     names = fresh(docs, "lang_pred", "lang_score", "lang_accepted")
     return language_id.predict(docs, learned, names=names).where(F.col(names[2])).select(docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules take for good."""
+    """Documents that the rules take for good; without labels every score is 0.5 and all stay."""
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
     model = rule_ensemble.fit(docs, labels, "quality")
     score = rule_ensemble.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
