@@ -6,56 +6,95 @@ bounded by the links and not by the number of paths. Steps are cut from their li
 
 from __future__ import annotations
 
-import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 1000
+from millrace.sources.files import shared_folder
+
+#: Links of the longest chain that is followed, and frontiers that are written apart.
+MAX_DEPTH, COMPACT = 1000, 8
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
 def chains(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """kind, uid, chain_id, position: for each key the nearest root (no link leads to it), the least one of several.
 
-    edges: kind, from_uid, to_uid. Keys that no root reaches (cycles) are left out.
+    edges: kind, from_uid, to_uid. Keys that no root reaches (cycles) are left out. A step writes its frontier alone; the
+    frontiers together are what has been reached, and after every COMPACT of them they are written as one. ValueError
+    where a chain is longer than ``max_depth``.
     """
     edges = edges.select("kind", "from_uid", "to_uid").distinct()
     targets = edges.select("kind", F.col("to_uid").alias("uid")).distinct()
     nodes = edges.select("kind", F.col("from_uid").alias("uid")).union(targets).distinct()
     frontier = nodes.join(targets, ["kind", "uid"], "left_anti").select("kind", "uid", F.col("uid").alias("chain_id"), F.lit(0).cast("long").alias("position"))
-    reached = frontier = checkpoint(frontier)
+    edges = checkpoint(edges.withColumnRenamed("from_uid", "uid"))
+    frontiers = [checkpoint(frontier)]
     for _ in range(max_depth):
-        step = (
-            frontier.join(edges.withColumnRenamed("from_uid", "uid"), ["kind", "uid"])
-            .groupBy("kind", F.col("to_uid").alias("uid")).agg(F.min("chain_id").alias("chain_id"), (F.min("position") + 1).alias("position"))
-        )
+        step = frontiers[-1].join(edges, ["kind", "uid"]).groupBy("kind", F.col("to_uid").alias("uid")).agg(F.min("chain_id").alias("chain_id"), (F.min("position") + 1).alias("position"))
+        reached = reduce(DataFrame.unionByName, frontiers)
         frontier = checkpoint(step.join(reached, ["kind", "uid"], "left_anti"))
         if frontier.isEmpty():
-            break
-        reached = checkpoint(reached.unionByName(frontier))
-    return reached
+            return reached
+        if len(frontiers) >= COMPACT:
+            frontiers = [checkpoint(reached)]
+        frontiers.append(frontier)
+    raise ValueError(f"chains of more than {max_depth} links")
 
 
-def in_cycles(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """kind, uid of keys on a cycle or between cycles: what is left when keys without a link in or without one out are
-    taken away again and again."""
+def trimmed(edges: DataFrame) -> DataFrame:
+    """The links left when keys without a link in or without one out are taken away again and again."""
     edges = checkpoint(edges.select("kind", "from_uid", "to_uid").distinct())
     n = edges.count()
-    for _ in range(max_depth):
+    while n:
         ins = edges.select("kind", F.col("to_uid").alias("from_uid")).distinct()
         outs = edges.select("kind", F.col("from_uid").alias("to_uid")).distinct()
         edges = checkpoint(edges.join(ins, ["kind", "from_uid"], "left_semi").join(outs, ["kind", "to_uid"], "left_semi").select("kind", "from_uid", "to_uid"))
         n, before = edges.count(), n
-        if n in (0, before):
+        if n == before:
             break
-    return edges.select("kind", F.col("from_uid").alias("uid")).union(edges.select("kind", F.col("to_uid").alias("uid"))).distinct()
+    return edges
+
+
+def in_cycles(edges: DataFrame) -> DataFrame:
+    """kind, uid of the keys on a cycle, and not of those on the way from one cycle to another.
+
+    What is left after trimming is coloured: each key takes the greatest key that leads to it. The keys of a colour that
+    lead back to the key it is named for form a strongly connected component. These are taken out, and the rest is
+    trimmed and coloured again.
+    """
+    found, left = edges.select("kind", F.col("from_uid").alias("uid")).limit(0), trimmed(edges)
+    while not left.isEmpty():
+        ends = left.select("kind", F.col("from_uid").alias("uid")).union(left.select("kind", F.col("to_uid").alias("uid"))).distinct()
+        colours = checkpoint(ends.withColumn("colour", F.col("uid")))
+        while True:
+            came = left.join(colours.withColumnRenamed("uid", "from_uid"), ["kind", "from_uid"]).groupBy("kind", F.col("to_uid").alias("uid")).agg(F.max("colour").alias("came"))
+            moved = checkpoint(colours.join(came, ["kind", "uid"], "left").select("kind", "uid", F.greatest("colour", "came").alias("colour"), (F.col("came") > F.col("colour")).alias("moved")))
+            colours = moved.drop("moved")
+            if moved.where("moved").isEmpty():
+                break
+        one = left.join(colours.withColumnRenamed("uid", "from_uid"), ["kind", "from_uid"]).join(colours.select("kind", F.col("uid").alias("to_uid"), F.col("colour").alias("_colour")), ["kind", "to_uid"])
+        inner = checkpoint(one.where("colour = _colour").select("kind", "from_uid", "to_uid"))
+        reached = frontier = checkpoint(colours.where("uid = colour").select("kind", "uid"))
+        while True:
+            back = frontier.join(inner.withColumnRenamed("to_uid", "uid"), ["kind", "uid"]).select("kind", F.col("from_uid").alias("uid")).distinct()
+            frontier = checkpoint(back.join(reached, ["kind", "uid"], "left_anti"))
+            if frontier.isEmpty():
+                break
+            reached = checkpoint(reached.union(frontier))
+        heads, tails = reached.withColumnRenamed("uid", "from_uid"), reached.withColumnRenamed("uid", "to_uid")
+        # a component of one key is a cycle only if the key is linked with itself
+        inside = inner.join(heads, ["kind", "from_uid"], "left_semi").join(tails, ["kind", "to_uid"], "left_semi")
+        found = found.union(inside.select("kind", "from_uid")).union(inside.select("kind", "to_uid"))
+        left = trimmed(left.join(heads, ["kind", "from_uid"], "left_anti").join(tails, ["kind", "to_uid"], "left_anti"))
+    return found.distinct()
 
 
 def alias_ends(aliases: DataFrame, max_depth: int = 64) -> DataFrame:

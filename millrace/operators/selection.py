@@ -32,13 +32,24 @@ def either_key_join(left: DataFrame, key: str, right: DataFrame, owners: tuple[s
     return left.join(owned, left[key] == owned["_owner"]).drop("_owner")
 
 
+def _place(text: str, word: str) -> Column:
+    return F.expr(f"instr(concat(' ', `{text}`, ' '), concat(' ', `{word}`, ' '))")
+
+
 def containment_join(df: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
     """Rows of df with each word that stands in the text between blanks, and its place; ``words`` must be small."""
     n = words.limit(SMALL_ROWS + 1).count()
     if n > SMALL_ROWS:
-        raise ValueError(f"more than {SMALL_ROWS} words: send them out as tokens and join on equality")
-    place = F.expr(f"instr(concat(' ', `{text}`, ' '), concat(' ', `{word}`, ' '))")
-    return df.join(F.broadcast(words), place > 0).withColumn("place", place)
+        raise ValueError(f"more than {SMALL_ROWS} words: use containment_by_token")
+    return df.join(F.broadcast(words), _place(text, word) > 0).withColumn("place", _place(text, word))
+
+
+def containment_by_token(df: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
+    """As containment_join for any number of words (of one or more tokens): a text goes out under each of its different
+    tokens, a word under its first one, and what meets is compared."""
+    sent = df.withColumn("_token", F.explode(F.array_distinct(F.split(text, " "))))
+    keyed = words.withColumn("_first", F.split_part(word, F.lit(" "), F.lit(1)))
+    return sent.join(keyed, F.col("_token") == F.col("_first")).drop("_token", "_first").withColumn("place", _place(text, word)).where("place > 0")
 
 
 def null_aware_anti(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFrame:
@@ -68,10 +79,12 @@ def full_difference(expected: DataFrame, actual: DataFrame, key: str) -> DataFra
 def streaks(runs: DataFrame, hits: DataFrame, key: str, run: str) -> DataFrame:
     """For each key that hits in the newest run, in how many runs without a gap, counted back from it.
 
-    The newest missed run of a key decides; it is found with aggregates and equality joins only.
+    The newest missed run of a key decides; it is found with aggregates and equality joins only. Runs are numbered in one
+    window and, up to SMALL_ROWS of them, broadcast: a history has a row for each run, not for each record.
     """
     numbered = runs.select(run).distinct().withColumn("back", F.row_number().over(Window.orderBy(F.desc(run))))
-    seen = hits.select(key, run).distinct().join(F.broadcast(numbered), run)
+    small = runs.select(run).distinct().limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+    seen = hits.select(key, run).distinct().join(F.broadcast(numbered) if small else numbered, run)
     # a key's hits numbered by rank: a gap shows where rank and number part
     ranked = seen.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("back")))
     return ranked.where("rank = back").groupBy(key).agg(F.max("rank").cast("long").alias("runs"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators import gate, quality
 from millrace.plans.catalog import ITEMS_SQL, items, table
 from millrace.plans.registry import query
+from millrace.plans.sourcing import folder
 
 
 @query("dq_01_unique", "SELECT p_name, count(*) AS n FROM part GROUP BY p_name HAVING count(*) > 1")
@@ -123,7 +124,7 @@ def found(spark: SparkSession, d: str) -> DataFrame:
 
 @query("gate_01_findings", FINDINGS_SQL + " SELECT * FROM r")
 def gate_01(spark: SparkSession, d: str) -> DataFrame:
-    return found(spark, d)
+    return found(spark, d).select("check", "scope", "level", "count", "affected", "pct", "escalated", "first_key")
 
 
 @query("gate_02_decision", FINDINGS_SQL + " SELECT CASE coalesce(max(level), 0) WHEN 2 THEN 'blocker' WHEN 1 THEN 'warning' ELSE 'pass' END AS decision, coalesce(max(level), 0) < 2 AS publishable, count(*) AS findings FROM r")
@@ -134,3 +135,83 @@ def gate_02(spark: SparkSession, d: str) -> DataFrame:
 @query("gate_03_samples", f"SELECT check_name AS \"check\", array_to_string(list(entity_key ORDER BY entity_key), ',') AS keys FROM (SELECT DISTINCT check_name, entity_key FROM {ROWS_SQL} QUALIFY dense_rank() OVER (PARTITION BY check_name ORDER BY entity_key) <= 20) GROUP BY check_name")
 def gate_03(spark: SparkSession, d: str) -> DataFrame:
     return gate.samples(gate_input(spark, d)).select("check", F.array_join("keys", ",").alias("keys"))
+
+
+STRICT = """
+[check.late]
+scopes = { reference = "info", catalog = "warning", new_item = "info" }
+escalate = { scope = "catalog", level = "blocker", min_count = 3, min_pct = 1.0 }
+[check.returned]
+scopes = { catalog = "warning" }
+escalate = { scope = "catalog", level = "blocker", min_runs = 6 }
+[check.canary]
+scopes = { catalog = "blocker" }
+"""
+#: Rows of checks with and without a rule, scopes without one, and counts below nothing; and a population of which the
+#: late rows of the catalog are a little less than the share at which they would escalate.
+ODD_ROWS_SQL = """(SELECT CASE WHEN l_linenumber = 1 THEN 'late' WHEN l_linenumber = 2 THEN 'returned' WHEN l_linenumber = 3 THEN 'misread' ELSE NULL END AS check_name, concat('o', l_orderkey) AS entity_key,
+CASE WHEN l_suppkey % 4 = 0 THEN 'reference' WHEN l_suppkey % 4 = 1 THEN NULL ELSE 'catalog' END AS entry_kind, l_partkey % 10 = 0 AS is_new_item, CAST(l_partkey % 5 - 1 AS BIGINT) AS affected, CAST(l_orderkey % 8 AS BIGINT) AS runs FROM lineitem WHERE l_linenumber < 4)"""
+ALL_FINDINGS_SQL = f"""WITH pol(check_name, scope, base, raised, min_count, min_pct, min_runs) AS (VALUES ('late', 'catalog', 1, 2, 3, 1.0, NULL), ('late', 'reference', 0, NULL, 0, 0.0, NULL), ('late', 'new_item', 0, NULL, 0, 0.0, NULL), ('returned', 'catalog', 1, 2, 0, 0.0, 6), ('canary', 'catalog', 2, NULL, 0, 0.0, NULL)),
+s AS (SELECT * EXCLUDE entry_kind, CASE WHEN is_new_item AND check_name = 'late' THEN 'new_item' ELSE coalesce(entry_kind, 'catalog') END AS scope FROM {ODD_ROWS_SQL} WHERE check_name IS NOT NULL),
+o AS (SELECT check_name, scope, entity_key, arg_max(greatest(affected, 0), greatest(affected, 0) * 100 + runs) AS affected, arg_max(runs, greatest(affected, 0) * 100 + runs) AS runs FROM s GROUP BY ALL),
+pop AS (SELECT 'catalog' AS scope, 100 * sum(affected) + 1 AS value FROM o WHERE check_name = 'late' AND scope = 'catalog'),
+j AS (SELECT o.*, base, raised, min_count, min_pct, min_runs, coalesce(runs >= min_runs, false) AS long FROM o LEFT JOIN pol USING (check_name, scope)),
+g AS (SELECT check_name, scope, base, raised, min_count, min_pct, min_runs, long, count(*) AS count, CAST(sum(affected) AS BIGINT) AS affected, max(runs) AS runs FROM j GROUP BY ALL),
+f AS (SELECT g.*, value, raised IS NOT NULL AND (long OR (min_runs IS NULL AND affected >= min_count AND coalesce(100.0 * affected / value >= min_pct, false))) AS escalated FROM g LEFT JOIN pop USING (scope) WHERE base IS NULL OR min_runs IS NOT NULL OR affected > 0),
+r AS (SELECT check_name AS "check", scope, CAST(CASE WHEN escalated THEN raised ELSE coalesce(base, 0) END AS INTEGER) AS level, count, affected, round(100.0 * affected / value, 6) AS pct, escalated,
+ CASE WHEN check_name NOT IN (SELECT check_name FROM pol) THEN 'no rule for the check ' || check_name WHEN base IS NULL THEN check_name || ': scope ' || scope || ' not in policy' WHEN min_runs IS NOT NULL THEN check_name || ': ' || affected || ' in ' || scope || CASE WHEN runs > 0 THEN ', up to ' || runs || ' runs' ELSE '' END ELSE check_name || ': ' || affected || ' in ' || scope || CASE WHEN value IS NOT NULL THEN ' of ' || value ELSE '' END END AS message FROM f)"""
+
+
+def all_found(spark: SparkSession, d: str) -> DataFrame:
+    table(spark, d, "lineitem").createOrReplaceTempView("lineitem_in")
+    rows = spark.sql(f"SELECT * FROM {ODD_ROWS_SQL.replace('FROM lineitem', 'FROM lineitem_in')}").where("check_name IS NOT NULL")
+    gated = quality.gate_rows(rows, entity_type=F.lit("order"), entity_key=F.col("entity_key"), entry_kind=F.col("entry_kind"), is_new_item=F.col("is_new_item"), affected=F.col("affected"), runs=F.col("runs"), detail=F.col("check_name")).withColumnRenamed("detail", "check")
+    late = gated.where("check = 'late' AND coalesce(entry_kind, 'catalog') = 'catalog' AND NOT is_new_item").groupBy("entity_key").agg(F.max(F.greatest("affected", F.lit(0))).alias("n"))
+    population = late.agg((100 * F.sum("n") + 1).alias("value")).select(F.lit("catalog").alias("scope"), "value")
+    return gate.findings(gated, gate.Policy.parse(STRICT).frame(spark), population)
+
+
+@query("gate_04_findings_without_rules", ALL_FINDINGS_SQL + " SELECT * FROM r")
+def gate_04(spark: SparkSession, d: str) -> DataFrame:
+    return all_found(spark, d).select("check", "scope", "level", "count", "affected", "pct", "escalated", "message")
+
+
+@query(
+    "gate_05_consecutive_runs",
+    """WITH past AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS run_id, event_type AS "check", 'u' || CAST(user_id % 40 AS VARCHAR) AS scope, CASE WHEN value > 20 THEN 1 ELSE 0 END AS level FROM events),
+    last AS (SELECT max(run_id) AS m FROM past), runs AS (SELECT run_id, row_number() OVER (ORDER BY run_id DESC) AS back FROM (SELECT DISTINCT run_id FROM past, last WHERE run_id < m)),
+    hits AS (SELECT DISTINCT p."check", p.scope, back FROM past p JOIN runs USING (run_id) WHERE level >= 1), k AS (SELECT *, row_number() OVER (PARTITION BY "check", scope ORDER BY back) AS nth FROM hits),
+    s AS (SELECT "check", scope, count(*) AS n FROM k WHERE nth = back GROUP BY ALL), f AS (SELECT "check", scope, max(level) AS level FROM past, last WHERE run_id = m GROUP BY ALL)
+    SELECT f."check", f.scope, f.level, 1 + coalesce(n, 0) AS consecutive_runs FROM f LEFT JOIN s ON s."check" = f."check" AND s.scope = f.scope""",
+)
+def gate_05(spark: SparkSession, d: str) -> DataFrame:
+    """Each day of the events is a run; the findings of the last day with how many runs in a row they have lasted."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    past = table(spark, d, "events").select(day.alias("run_id"), day.alias("started_at"), F.col("event_type").alias("check"), F.concat(F.lit("u"), (F.col("user_id") % 40).cast("string")).alias("scope"), F.when(F.col("value") > 20, 1).otherwise(0).alias("level")).distinct()
+    last = past.agg(F.max("run_id").alias("m")).first()["m"] or ""
+    now = past.where(F.col("run_id") == last).groupBy("check", "scope").agg(F.max("level").alias("level"))
+    return gate.with_streaks(now, past, last, last)
+
+
+@query(
+    "gate_06_run_findings",
+    """WITH r AS (SELECT 'check' || (o_custkey % 50) AS name, CASE o_custkey % 3 WHEN 0 THEN 'info' WHEN 1 THEN 'policy' ELSE 'structural' END AS grp, CASE WHEN min(o_orderstatus) = 'F' AND o_custkey % 7 = 0 THEN 'fail' WHEN o_custkey % 11 = 0 THEN 'skipped' WHEN o_custkey % 2 = 0 THEN 'warn' ELSE 'pass' END AS status, count(*) AS failures, CASE WHEN o_custkey % 5 = 0 THEN 'seen' END AS message FROM orders GROUP BY o_custkey),
+    t AS (SELECT *, status IN ('fail', 'skipped') AS broken FROM r WHERE status IN ('fail', 'skipped') OR (status = 'warn' AND grp <> 'policy'))
+    SELECT CASE WHEN broken THEN 'run' ELSE name END AS "check", CAST(CASE WHEN broken THEN 3 ELSE 0 END AS INTEGER) AS level, failures AS affected, name AS sources, CASE WHEN broken THEN concat_ws(' ', name, status, message) WHEN grp = 'info' THEN coalesce(message, name || ': ' || failures || ' rows') ELSE 'unclassified warning ' || name END AS message FROM t""",
+)
+def gate_06(spark: SparkSession, d: str) -> DataFrame:
+    results = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderstatus").alias("least"), F.count("*").alias("failures")).selectExpr(
+        "concat('check', o_custkey % 50) AS name", "CASE o_custkey % 3 WHEN 0 THEN 'info' WHEN 1 THEN 'policy' ELSE 'structural' END AS grp",
+        "CASE WHEN least = 'F' AND o_custkey % 7 = 0 THEN 'fail' WHEN o_custkey % 11 = 0 THEN 'skipped' WHEN o_custkey % 2 = 0 THEN 'warn' ELSE 'pass' END AS status",
+        "failures", "CASE WHEN o_custkey % 5 = 0 THEN 'seen' END AS message",
+    )
+    return gate.run_findings(results).select("check", "level", "affected", "sources", "message")
+
+
+@query("gate_07_recorded", ALL_FINDINGS_SQL + """, c AS (SELECT "check", scope, level, affected, escalated FROM r UNION ALL SELECT 'canary', 'catalog', 2, 1, false) SELECT "check", scope, max(level) AS level, CAST(sum(affected) AS BIGINT) AS affected, bool_or(escalated) AS escalated FROM c GROUP BY ALL""")
+def gate_07(spark: SparkSession, d: str) -> DataFrame:
+    """Findings with a failed canary, recorded and read again: one row for each check and scope."""
+    at, policy = folder(spark), gate.Policy.parse(STRICT).frame(spark)
+    every = all_found(spark, d).unionByName(gate.canary_finding(policy, failed=True)).withColumn("consecutive_runs", F.lit(1))
+    gate.record(every, at, "run1")
+    return spark.read.parquet(f"{at}/gate_finding").select("check", "scope", "level", "affected", "escalated")

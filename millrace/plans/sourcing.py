@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +16,8 @@ from millrace.streaming import changes as streams
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder; on a single machine without one, a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{files.shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
 
 
 @query("src_01_sqlite_round_trip", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")

@@ -3,14 +3,38 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the session's checkpoint folder; in local mode a new temporary
+    one where none is set."""
+    have = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not have:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        have = tempfile.mkdtemp(prefix="millrace-")
+    return have.rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at the path."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return False
+    return True
+
+
 def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One JSON object a line; a line that doesn't fit stops the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -246,3 +246,50 @@ def test_package_needs_no_text_operators():
             for node in ast.walk(ast.parse(path.read_text())):
                 names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
                 assert not any(n.startswith("millrace.llm") for n in names), path
+
+
+def test_keys_between_cycles_are_not_on_one(spark):
+    pairs = [("a", "b"), ("b", "a"), ("b", "m"), ("m", "c"), ("c", "d"), ("d", "c"), ("s", "s"), ("x", "a"), ("d", "y"), ("p", "q"), ("q", "r"), ("r", "p"), ("r", "q")]
+    edges = spark.createDataFrame([("k", *p) for p in pairs] + [("other", "m", "m")], "kind string, from_uid string, to_uid string")
+    got = sorted((r.kind, r.uid) for r in graph.in_cycles(edges).collect())
+    assert got == [("k", u) for u in "abcdpqrs"] + [("other", "m")]
+    assert graph.in_cycles(edges.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("escalate", ['scope = "catalog", level = "blocker", min_count = 3', 'scope = "catalog", level = "blocker", min_pct = 3.0', 'scope = "catalog", level = "blocker", min_count = 3, min_pct = 1.0, min_runs = 2', 'scope = "catalog", level = "info", min_runs = 2', 'scope = "catalog", level = "blocker", min_count = 0, min_pct = 1.0', 'scope = "catalog", level = "blocker", min_count = 1, min_pct = 101', 'scope = "other", level = "blocker", min_runs = 2', ""])
+def test_escalations_that_make_no_sense(escalate):
+    with pytest.raises(ValueError):
+        gate.Policy.parse(f'[check.a]\nscopes = {{ catalog = "warning" }}\nescalate = {{ {escalate} }}')
+
+
+def test_shares_are_compared_exactly_and_unknown_checks_are_told(spark):
+    policy = gate.Policy.parse('[check.a]\nscopes = { catalog = "warning" }\nescalate = { scope = "catalog", level = "blocker", min_count = 1, min_pct = 2.0 }').frame(spark)
+    rows = [("equipment", "k1", "catalog", False, 19_999_999, None, "a"), ("equipment", "k2", "catalog", False, -5, None, "a"), ("equipment", "k3", "reference", False, 1, None, "a"), ("equipment", "k4", None, True, 1, 2, "unknown")]
+    frame = spark.createDataFrame(rows, "entity_type string, entity_key string, entry_kind string, is_new_item boolean, affected long, runs long, check string")
+    population = spark.createDataFrame([("catalog", 1_000_000_000)], "scope string, value long")
+    got = {(r.check, r.scope): (r.level, r.escalated, r.affected) for r in gate.findings(frame, policy, population).collect()}
+    assert got == {("a", "catalog"): (1, False, 19_999_999), ("a", "reference"): (0, False, 1), ("unknown", "catalog"): (0, False, 1)}
+    more = population.withColumn("value", F.lit(999_999_950))
+    assert gate.findings(frame.where("check = 'a'"), policy, more).where("scope = 'catalog'").first().level == 2
+
+
+def test_a_run_is_decided_once(spark, tmp_path):
+    policy = gate.Policy.parse('[check.canary]\nscopes = { catalog = "warning" }').frame(spark)
+    assert [gate.canary_finding(policy, x).count() for x in (True, None, False)] == [1, 1, 0]
+    found = gate.canary_finding(policy, True).withColumn("consecutive_runs", F.lit(1))
+    gate.record(found, str(tmp_path), "r1")
+    with pytest.raises(ValueError):
+        gate.record(found, str(tmp_path), "r1")
+    gate.record(found, str(tmp_path), "r2")
+    assert spark.read.parquet(f"{tmp_path}/gate_decision").where("decision = 'warning' AND publishable").count() == 2
+    results = spark.createDataFrame([("a", "info", "warn", 3, None), ("b", "structural", "fail", 0, "m"), ("c", "policy", "warn", 1, None), ("d", "contract", "pass", 0, None), ("e", "contract", "warn", 2, None)], "name string, grp string, status string, failures long, message string")
+    told = gate.ordered(gate.run_findings(results)).collect()
+    assert [(r.check, r.level, r.affected, r.message) for r in told] == [("run", 3, 1, "b fail m"), ("a", 0, 3, "a: 3 rows"), ("e", 0, 2, "unclassified warning e")]
+    assert gate.decide(gate.run_findings(results)).first().decision == "error"
+
+
+def test_containment_by_token(spark):
+    df = spark.createDataFrame([(1, "a b c a"), (2, "ab c"), (3, None), (4, "b c")], "id long, text string")
+    words = spark.createDataFrame([("a",), ("b c",), ("zz",)], "word string")
+    want = sorted(map(tuple, selection.containment_join(df, "text", words, "word").collect()))
+    assert sorted(map(tuple, selection.containment_by_token(df, "text", words, "word").collect())) == want and want
