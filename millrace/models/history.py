@@ -170,17 +170,30 @@ NULL_RATES = {
 }
 
 
+def null_share(column: str) -> Column:
+    return F.avg(F.col(column).isNull().cast("double"))
+
+
+def one_pass(df: DataFrame, facts: dict[str, Column]) -> DataFrame:
+    """metric, value: several aggregates of a table in one pass, a row for each."""
+    return df.agg(F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in facts.items()]).alias("m")).select(F.inline("m"))
+
+
+REPORTED_NULLS = {"equipment": ["icon_sha"], "proc": ["element_id", "size"], "weapon": ["proc_id"], "defensive_gear": ["proc_id"], "monster": ["passive_id"], "skill_effect": ["target"]}
+
+
 @model()
 def obs_data_quality(b: Build) -> DataFrame:
-    counts = {f"count:{n}": b[f"mart_{n}"] for n in MARTS} | {
-        "orphans": b["int_unresolved_ref"], "icons_missing": b["int_ship_equipment"].where("state = 'live' AND icon_sha IS NULL"),
-        "retirements": b["int_equipment_status"].where("newly_retired"), "alias_candidates": b["int_alias_candidate_new"], "parse_failures": b["stg_parse_error"],
-    }
-    rows = [df.agg(F.count("*").cast("double").alias("value")).select(F.lit(n).alias("metric"), F.lit("all").alias("scope"), "value") for n, df in counts.items()]
-    rows.append(b["int_population"].select(F.lit("population").alias("metric"), "scope", F.col("value").cast("double").alias("value")))
-    for n, columns in NULL_RATES.items():
-        rates = quality.null_rates(b[f"mart_{n}"], columns, n)
-        rows.append(rates.select(F.replace("metric", F.lit("null_rate."), F.lit("null_rate:")).alias("metric"), F.lit("all").alias("scope"), "value"))
+    count = lambda df, name: df.agg(F.count("*").cast("double").alias("value")).select(F.lit(name).alias("metric"), F.lit("all").alias("scope"), "value")
+    rows = [
+        count(b["int_unresolved_ref"], "orphans"), count(b["int_equipment_status"].where("newly_retired"), "retirements"),
+        count(b["int_alias_candidate_new"], "alias_candidates"), count(b["stg_parse_error"], "parse_failures"),
+        count(b["int_ship_equipment"].where("state = 'live' AND icon_sha IS NULL"), "icons_missing"),
+        b["int_population"].select(F.lit("population").alias("metric"), "scope", F.col("value").cast("double").alias("value")),
+    ]
+    for n in MARTS:  # rows and null rates of a table in one pass
+        facts = {f"count:{n}": F.count("*").cast("double")} | {f"null_rate:{n}.{c}": F.round(null_share(c), 9) for c in NULL_RATES.get(n, [])}
+        rows.append(one_pass(b[f"mart_{n}"], facts).select("metric", F.lit("all").alias("scope"), "value"))
     metrics = reduce(DataFrame.unionByName, rows)
     last = b.prev("obs_data_quality").where(F.col("run_id") == F.lit(b.run.prev_run_id)).select("metric", "scope", F.col("value").alias("prev_value"))
     joined = metrics.join(last, ["metric", "scope"], "left")
@@ -209,6 +222,20 @@ def shipped_parse_failures(b: Build) -> DataFrame:
     return b["stg_parse_error"].join(known, "source_id", "left_semi").select(F.col("source_id").alias("uid"), "source_hash", "parser_version", "error")
 
 
+@model()
+def rpt_unresolved_refs(b: Build) -> DataFrame:
+    return b["int_unresolved_ref"]
+
+
+@model()
+def rpt_null_rates(b: Build) -> DataFrame:
+    """Shares of nulls that a reader of the catalogue meets, one pass for each table."""
+    out = []
+    for n, columns in REPORTED_NULLS.items():
+        out.append(one_pass(b[f"mart_{n}"], {f"{n}.{c}": null_share(c) for c in columns}))
+    return reduce(DataFrame.unionByName, out)
+
+
 @model()
 def rpt_census(b: Build) -> DataFrame:
     return b["mart_equipment"].groupBy("entry_kind", "state", "rarity", "gear_type").agg(F.count("*").alias("items"))

@@ -226,6 +226,47 @@ def join_16_nulls(spark: SparkSession, d: str) -> DataFrame:
     return selection.null_aware_anti(table(spark, d, "customer"), "c_custkey", keys, "k").select("c_custkey")
 
 
+@query("join_15_anti_some", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P')")
+def join_15_some(spark: SparkSession, d: str) -> DataFrame:
+    pending = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    return table(spark, d, "customer").join(pending, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("join_16_null_aware_anti_some", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 7 > 0 AND o_custkey IS NOT NULL)")
+def join_16_some(spark: SparkSession, d: str) -> DataFrame:
+    keys = table(spark, d, "orders").where("o_custkey % 7 > 0").select(F.col("o_custkey").alias("k"))
+    return selection.null_aware_anti(table(spark, d, "customer"), "c_custkey", keys, "k").select("c_custkey")
+
+
+@query(
+    "join_16_null_aware_anti_by_segment",
+    """WITH k AS (SELECT c_mktsegment AS s, count(o_orderkey) AS n, count(*) FILTER (o_totalprice > 300000) AS nulls FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)
+    SELECT c_custkey FROM customer JOIN k ON s = c_mktsegment WHERE nulls = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL) UNION ALL SELECT c_custkey FROM customer JOIN k ON s = c_mktsegment WHERE nulls > 0 AND c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_custkey IS NOT NULL)""",
+)
+def join_16_by_segment(spark: SparkSession, d: str) -> DataFrame:
+    """A null-aware anti join for each of two groups of segments: those with an expensive order and those without."""
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    dear = orders.where("o_totalprice > 300000").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("c_mktsegment").distinct()
+    marked = selection.mark(customer, ["c_mktsegment"], dear, "dear")
+    keys = lambda status: orders.where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("k"))
+    cheap = selection.null_aware_anti(marked.where("NOT dear"), "c_custkey", keys("F"), "k")
+    rest = selection.null_aware_anti(marked.where("dear AND c_custkey % 2 = 0"), "c_custkey", keys("O"), "k")
+    return cheap.select("c_custkey").union(rest.select("c_custkey"))
+
+
+@query("set_04_difference_some", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
+def set_04_some(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_custkey"))
+
+
+@query("join_10_containment_by_token", "SELECT a.p_partkey AS p_partkey, w.word AS word, CAST(instr(' ' || a.p_name || ' ', ' ' || w.word || ' ') AS INTEGER) AS place FROM part a JOIN (SELECT DISTINCT split_part(p_name, ' ', 1) AS word FROM part UNION SELECT DISTINCT p_name FROM part WHERE p_partkey % 3 = 0) w ON instr(' ' || a.p_name || ' ', ' ' || w.word || ' ') > 0")
+def join_10_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Names that hold other names or first words between blanks, by an equality of tokens."""
+    part = table(spark, d, "part")
+    words = part.select(F.split("p_name", " ")[0].alias("word")).union(part.where("p_partkey % 3 = 0").select("p_name")).distinct()
+    return selection.containment_by_token(part.select("p_partkey", "p_name"), "p_name", words, "word").select("p_partkey", "word", "place")
+
+
 @query("join_17_mark", "SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R') AS returned FROM orders o")
 def join_17(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))

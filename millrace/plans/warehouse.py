@@ -38,6 +38,7 @@ DERIVED = {
     "stg_listing": ("part", "p_partkey % 17 > 0", f"{UID} AS item_id, p_name AS name, {CLASS} AS grp, CASE WHEN p_size % 5 = 0 THEN 'SSR' ELSE 'UR' END AS rarity, CAST(p_size + 40 AS BIGINT) AS cost"),
     "stg_asset": ("part", "p_partkey % 29 > 0", f"concat('/icon/', p_partkey) AS url, {UID} AS item_id, 'equipment' AS kind, sha2(concat(p_name, p_brand), 256) AS sha256, '2024-01-02T00:00:00Z' AS fetched_at, CAST(length(concat(p_name, p_brand)) AS BIGINT) AS body_bytes"),
 }
+#: The thresholds of the gate.
 POLICY = """
 [check.icon_missing]
 scopes = { reference = "info", new_item = "warning", catalog = "warning" }
@@ -76,8 +77,19 @@ def split(expressions: str) -> list[str]:
     return [*out, expressions[start:]]
 
 
+#: Builds by session and input folder: their stored models are written once and read by all queries on them.
+_BUILDS: dict[tuple[str, str], tuple[Build, Build]] = {}
+
+
 def builds(spark: SparkSession, d: str) -> tuple[Build, Build]:
-    """The first revision and the second one after it."""
+    """The first revision and the second one after it; made once for a session and a folder, whose tables don't change."""
+    name = (spark.sparkContext.applicationId, d)
+    if name not in _BUILDS:
+        _BUILDS[name] = _build(spark, d)
+    return _BUILDS[name]
+
+
+def _build(spark: SparkSession, d: str) -> tuple[Build, Build]:
     at = folder(spark)
     first = Build(spark, Run(1, "run1", "2024-01-10T00:00:00Z", bootstrap=True, last_complete_run=1), raw(spark, d, 1), {}, f"{at}/1")
     past = history.additions(first) | {"entity_current": first["entity_current"]}
@@ -131,3 +143,102 @@ def warehouse_06(spark: SparkSession, d: str) -> DataFrame:
     second = builds(spark, d)[1]
     names = [n for n in history.__dict__ if n.startswith("rpt_")]
     return reduce(DataFrame.unionByName, [second[n].agg(F.count("*").alias("n")).select(F.lit(n).alias("report"), "n") for n in names])
+
+
+#: The thresholds of all checks that the gate knows.
+ALL_RULES = POLICY + """
+[check.count_drop]
+scopes = { catalog = "info" }
+escalate = { scope = "catalog", level = "blocker", min_count = 1, min_pct = 20.0 }
+[check.parse_failure]
+scopes = { catalog = "warning" }
+escalate = { scope = "catalog", level = "blocker", min_count = 5, min_pct = 1.0 }
+[check.unlisted_release]
+scopes = { catalog = "info" }
+escalate = { scope = "catalog", level = "warning", min_runs = 3 }
+[check.wiki_contradiction]
+scopes = { reference = "info", catalog = "warning" }
+escalate = { scope = "catalog", level = "blocker", min_count = 5, min_pct = 1.0 }
+[check.unknown_vocabulary]
+scopes = { reference = "info", catalog = "warning" }
+escalate = { scope = "catalog", level = "blocker", min_count = 5, min_pct = 1.0 }
+[check.canary]
+scopes = { catalog = "blocker" }
+"""
+#: Items of the second revision (and of the first: old) with their state, kind and icon.
+ITEMS_SQL = """i AS (SELECT p_partkey AS k, 'p' || p_partkey AS uid, CASE WHEN p_size % 5 = 0 THEN 'SSR' ELSE 'UR' END AS rarity, lower(p_type) AS gear_type, CASE WHEN p_partkey % 5 = 0 OR p_partkey % 19 = 0 THEN 'reference' ELSE 'catalog' END AS entry_kind,
+ CASE WHEN p_partkey % 29 > 0 THEN sha256(p_name || p_brand) END AS icon, p_partkey % 13 <> 2 AS now, p_partkey % 13 <> 1 AS old, p_partkey % 19 > 0 AND p_partkey % 23 > 0 AS live, p_partkey % 19 > 0 AS was_live, p_partkey % 3 AS class FROM part)"""
+
+
+@query(
+    "warehouse_01_icon_changes",
+    f"""WITH {ITEMS_SQL}, n AS (SELECT DISTINCT icon FROM i WHERE icon IS NOT NULL), c AS (SELECT icon, bool_or(now) AS now, bool_or(old) AS old FROM i WHERE icon IS NOT NULL GROUP BY icon)
+    SELECT icon AS entity_key, CASE WHEN now THEN 'INSERT' ELSE 'DELETE' END AS operation FROM c WHERE now <> old""",
+)
+def warehouse_01_icons(spark: SparkSession, d: str) -> DataFrame:
+    """Icons that the second revision adds or no longer ships."""
+    return builds(spark, d)[1]["int_changes"].where("entity_type = 'icon'").select("entity_key", "operation")
+
+
+@query(
+    "warehouse_01_new_and_retired",
+    f"""WITH {ITEMS_SQL} SELECT 'equipment' AS entity_type, uid AS entity_key, 'INSERT' AS operation FROM i WHERE now AND NOT old
+    UNION ALL SELECT 'uid_retired', uid, 'INSERT' FROM i WHERE now AND NOT live AND NOT (old AND NOT was_live)""",
+)
+def warehouse_01_new(spark: SparkSession, d: str) -> DataFrame:
+    changed = builds(spark, d)[1]["int_changes"].where("(entity_type = 'equipment' AND operation = 'INSERT') OR entity_type = 'uid_retired'")
+    return changed.select("entity_type", "entity_key", "operation")
+
+
+METRICS = ("count:equipment", "count:weapon", "count:defensive_gear", "count:monster", "count:icon", "icons_missing", "retirements", "null_rate:equipment.icon_sha", "null_rate:equipment.retired_revision")
+
+
+@query(
+    "warehouse_03_equipment_metrics",
+    f"""WITH {ITEMS_SQL}, r AS (SELECT 2 AS r, *, live AS alive, now AND NOT live AND NOT (old AND NOT was_live) AS retires FROM i WHERE now UNION ALL SELECT 1, *, was_live, NOT was_live FROM i WHERE old),
+    m AS (SELECT r, unnest([{{'metric': 'count:equipment', 'value': CAST(count(*) AS DOUBLE)}}, {{'metric': 'count:weapon', 'value': CAST(count(*) FILTER (class = 0) AS DOUBLE)}}, {{'metric': 'count:defensive_gear', 'value': CAST(count(*) FILTER (class = 1) AS DOUBLE)}},
+     {{'metric': 'count:monster', 'value': CAST(count(*) FILTER (class = 2) AS DOUBLE)}}, {{'metric': 'count:icon', 'value': CAST(count(DISTINCT icon) AS DOUBLE)}}, {{'metric': 'icons_missing', 'value': CAST(count(*) FILTER (alive AND icon IS NULL) AS DOUBLE)}}, {{'metric': 'retirements', 'value': CAST(count(*) FILTER (retires) AS DOUBLE)}},
+     {{'metric': 'null_rate:equipment.icon_sha', 'value': round(avg(CASE WHEN icon IS NULL THEN 1.0 ELSE 0.0 END), 9)}}, {{'metric': 'null_rate:equipment.retired_revision', 'value': round(avg(CASE WHEN alive THEN 1.0 ELSE 0.0 END), 9)}}]) AS x FROM r GROUP BY r)
+    SELECT a.x.metric AS metric, a.x.value AS value, b.x.value AS prev_value, round(100.0 * (a.x.value - b.x.value) / b.x.value, 6) AS delta_pct FROM m a JOIN m b ON a.x.metric = b.x.metric WHERE a.r = 2 AND b.r = 1""",
+)
+def warehouse_03_metrics(spark: SparkSession, d: str) -> DataFrame:
+    found = builds(spark, d)[1]["obs_data_quality"].where(F.col("metric").isin(*METRICS))
+    return found.select("metric", "value", "prev_value", F.round("delta_pct", 6).alias("delta_pct"))
+
+
+@query(
+    "warehouse_05_gate_all_rules",
+    f"""WITH {ITEMS_SQL}, pop AS (SELECT entry_kind AS scope, count(*) AS value FROM i WHERE old AND was_live GROUP BY 1), now AS (SELECT count(*) AS n FROM i WHERE now AND live AND entry_kind = 'catalog'),
+    e AS (SELECT 'icon_missing' AS c, entry_kind AS scope, count(*) AS affected FROM i WHERE now AND live AND icon IS NULL GROUP BY ALL UNION ALL SELECT 'retired', entry_kind, count(*) FROM i WHERE now AND NOT live AND NOT (old AND NOT was_live) GROUP BY ALL
+     UNION ALL SELECT 'count_drop', 'catalog', value - n FROM pop, now WHERE pop.scope = 'catalog' AND value > n),
+    pol(c, scope, base, raised, min_count, min_pct) AS (VALUES ('icon_missing', 'catalog', 1, 2, 10, 2.0), ('icon_missing', 'reference', 0, NULL, 0, 0), ('retired', 'catalog', 1, 2, 25, 1.0), ('retired', 'reference', 1, NULL, 0, 0), ('count_drop', 'catalog', 0, 2, 1, 20.0))
+    SELECT c AS "check", scope, CAST(CASE WHEN raised IS NOT NULL AND affected >= min_count AND 100.0 * affected / value >= min_pct THEN raised ELSE base END AS INTEGER) AS level, affected, round(100.0 * affected / value, 6) AS pct FROM e JOIN pol USING (c, scope) LEFT JOIN pop USING (scope)""",
+)
+def warehouse_05_all(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of three checks, with rules for all ten."""
+    second = builds(spark, d)[1]
+    found = gate.findings(checks.gate_input(second), gate.Policy.parse(ALL_RULES).frame(spark), second.prev("population").where("run_id = 'run1'"))
+    return found.where("check IN ('icon_missing', 'retired', 'count_drop')").select("check", "scope", "level", "affected", "pct")
+
+
+@query("warehouse_06_census", f"WITH {ITEMS_SQL} SELECT entry_kind, CASE WHEN live THEN 'live' ELSE 'retired' END AS state, rarity, gear_type, count(*) AS items FROM i WHERE now GROUP BY ALL")
+def warehouse_06_census(spark: SparkSession, d: str) -> DataFrame:
+    return builds(spark, d)[1]["rpt_census"]
+
+
+@query(
+    "warehouse_06_scope_drift",
+    f"""WITH {ITEMS_SQL} SELECT uid, k % 17 > 0 AS listed, k % 19 > 0 AS in_frontier, CASE WHEN k % 19 > 0 THEN true END AS in_scope, CASE WHEN k % 19 > 0 THEN CASE WHEN k % 23 = 0 THEN 'gone' ELSE 'done' END END AS frontier_state, now AS shipped, CASE WHEN now THEN CASE WHEN live THEN 'live' ELSE 'retired' END END AS state
+    FROM i WHERE k % 17 > 0 OR k % 19 > 0 OR now""",
+)
+def warehouse_06_scope(spark: SparkSession, d: str) -> DataFrame:
+    return builds(spark, d)[1]["rpt_scope_drift"]
+
+
+@query(
+    "warehouse_06_null_rates",
+    f"""WITH {ITEMS_SQL} SELECT 'equipment.icon_sha' AS metric, round(avg(CASE WHEN icon IS NULL THEN 1.0 ELSE 0.0 END), 9) AS value FROM i WHERE now
+    UNION ALL SELECT 'monster.passive_id', 0.0 WHERE (SELECT count(*) FROM part) > 0""",
+)
+def warehouse_06_nulls(spark: SparkSession, d: str) -> DataFrame:
+    return builds(spark, d)[1]["rpt_null_rates"].where("metric IN ('equipment.icon_sha', 'monster.passive_id')").select("metric", F.round("value", 9).alias("value"))
