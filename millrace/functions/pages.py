@@ -6,12 +6,14 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of an error's text that are kept.
 ERROR_CHARS = 1000
 RECORDS = "page_id long, record string, ordinal long, label string, value string"
+ROW = pa.struct([("section", pa.string()), ("label", pa.string()), ("cells", pa.list_(pa.string()))])
+TABLES = "page_id long, title string, rows array<struct<section: string, label: string, cells: array<string>>>, error string"
 
 
 class PageParser(HTMLParser):
@@ -83,3 +85,83 @@ def page_records(pages: DataFrame) -> DataFrame:
 def lineage_links(records: DataFrame) -> DataFrame:
     """page_id, ordinal and target of the links that stay on the site."""
     return records.where("record = 'link' AND label LIKE '/%'").select("page_id", "ordinal", F.substring("label", 2, 1 << 20).alias("target"))
+
+
+class TableParser(HTMLParser):
+    """The title and the table rows of a page: heading above, label (``th``) and cells (``td``); ``br`` is a new line."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.title: str | None = None
+        self.section = ""
+        self.rows: list[dict] = []
+        self.tag: str | None = None
+        self.text: list[str] = []
+
+    def close_cell(self):
+        tag, self.tag = self.tag, None
+        value = "\n".join(" ".join(line.split()) for line in "".join(self.text).split("\n")).strip()
+        if tag == "title":
+            if self.title is not None:
+                raise ValueError("two titles")
+            self.title = value
+        elif tag == "h2":
+            self.section = value
+        elif tag in ("th", "td"):
+            if not self.rows:
+                raise ValueError("a cell outside a row")
+            if tag == "th":
+                self.rows[-1]["label"] = value
+            else:
+                self.rows[-1]["cells"].append(value)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text.append("\n")
+        elif tag in ("title", "h2", "th", "td", "tr"):
+            self.close_cell()
+            if tag == "tr":
+                self.rows.append({"section": self.section, "label": None, "cells": []})
+            else:
+                self.tag, self.text = tag, []
+
+    def handle_endtag(self, tag):
+        if tag in (self.tag, "tr", "table"):
+            self.close_cell()
+
+    def handle_data(self, data):
+        if self.tag:
+            self.text.append(data.replace("\n", " "))
+
+
+def page_tables(pages: DataFrame) -> DataFrame:
+    """page_id, title, rows and error, one row for each page; a page that can't be parsed has an error and nothing else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for page_id, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                try:
+                    parser = TableParser()
+                    parser.feed(html)
+                    parser.close()
+                    parser.close_cell()
+                    if parser.title is None:
+                        raise ValueError("no title")
+                    out.append((page_id, parser.title, parser.rows, None))
+                except Exception as e:  # any page may be broken in any way; the row says how
+                    out.append((page_id, None, None, f"{type(e).__name__}: {e}"[:ERROR_CHARS]))
+            kinds = (pa.int64(), pa.string(), pa.list_(ROW), pa.string())
+            columns = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "title", "rows", "error"])
+
+    return pages.select("page_id", "html").mapInArrow(run, TABLES)
+
+
+def cell(rows: Column, label: str) -> Column:
+    """The first cell of the first row with a label; null if there is none."""
+    return F.get(F.get(F.filter(rows, lambda r: r["label"] == label), F.lit(0))["cells"], F.lit(0))
+
+
+def rows_of(rows: Column, section: str) -> Column:
+    return F.filter(rows, lambda r: r["section"] == section)

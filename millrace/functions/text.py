@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Separators of hashed text, from outer to inner.
 FIELD_SEPARATOR, GROUP_SEPARATOR, RECORD_SEPARATOR, UNIT_SEPARATOR = map(chr, (28, 29, 30, 31))
@@ -27,6 +30,14 @@ def clean_text(c: str | Column, empty_as_null: bool = True) -> Column:
     return F.nullif(out, F.lit("")) if empty_as_null else out
 
 
+def casefold(c: str | Column) -> Column:
+    """Text for comparing without letter case: full upper case and back, so that sharp s is ss, and one form of sigma.
+
+    The sigma is lowered first: in between, it also keeps the optimizer from taking lower(upper(x)) for lower(x).
+    """
+    return F.lower(F.translate(F.upper(column(c)), "Σ", "σ"))
+
+
 def slug(c: str | Column) -> Column:
     """Lower case, every run of other characters than a-z and 0-9 one underscore, none at the ends; null if nothing is left."""
     return F.nullif(F.trim(F.regexp_replace(F.lower(column(c)), "[^a-z0-9]+", "_"), F.lit("_")), F.lit(""))
@@ -106,3 +117,30 @@ def conform(df: DataFrame, contract: dict[str, str], required: Iterable[str] = (
 def json_text(**fields: Column) -> Column:
     """A JSON object with the fields in their order, nulls kept."""
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
+
+
+@F.pandas_udf(StringType())
+def json_fault(text: pd.Series) -> pd.Series:
+    """Why text is no strict JSON object (repeated keys at any depth, numbers that aren't finite, another top level); null if it is one."""
+
+    def once(pairs):
+        seen = {}
+        for k, v in pairs:
+            if k in seen:
+                raise ValueError(f"duplicate key {k}")
+            seen[k] = v
+        return seen
+
+    def constant(name):
+        raise ValueError(f"non-finite number {name}")
+
+    def fault(raw):
+        try:
+            top = json.loads(raw, object_pairs_hook=once, parse_constant=constant)
+        except json.JSONDecodeError:
+            return "invalid"
+        except (TypeError, ValueError, RecursionError) as e:
+            return str(e) if raw is not None else "invalid"
+        return None if isinstance(top, dict) else "not an object"
+
+    return text.map(fault)

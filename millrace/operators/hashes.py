@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import FIELD_SEPARATOR, GROUP_SEPARATOR, RECORD_SEPARATOR, joined, row_text
+from millrace.functions.text import FIELD_SEPARATOR, GROUP_SEPARATOR, RECORD_SEPARATOR, UNIT_SEPARATOR, joined, row_text
 from millrace.operators.selection import either_key_join
 
 
@@ -91,3 +91,9 @@ def table_digest(df: DataFrame) -> DataFrame:
     return df.select(half(1).alias("a"), half(17).alias("b")).agg(
         F.count("*").alias("rows"), F.concat_ws("-", F.coalesce(F.sum("a"), F.lit(0)).cast("string"), F.coalesce(F.sum("b"), F.lit(0)).cast("string")).alias("digest")
     )
+
+
+def named_digest(df: DataFrame, name: str) -> DataFrame:
+    """``table_digest`` bound to the table's and the columns' names, so that renamed columns give another digest."""
+    header = UNIT_SEPARATOR.join([name, *sorted(df.columns)])
+    return table_digest(df).withColumn("digest", F.sha2(F.concat(F.lit(header + UNIT_SEPARATOR), "digest"), 256))

@@ -89,3 +89,55 @@ def merge_frontier(known: DataFrame, found: DataFrame) -> DataFrame:
     return both.groupBy("item_id").agg(
         F.min(F.struct("depth", "parent_id")).alias("way"), F.bool_or(F.col("entry_kind") == "catalog").alias("catalog")
     ).select("item_id", "way.depth", "way.parent_id", F.when(F.col("catalog"), "catalog").otherwise("reference").alias("entry_kind"))
+
+
+def claim(frontier: DataFrame, n: int) -> DataFrame:
+    """The frontier with its first n pending items, by depth and id, in flight and with one more attempt."""
+    first = frontier.where("state = 'pending'").orderBy("depth", "item_id").limit(n).select("item_id", F.lit(True).alias("_claimed"))
+    claimed = F.coalesce("_claimed", F.lit(False))
+    joined = frontier.join(first, "item_id", "left")
+    return joined.withColumns({"state": F.when(claimed, "in_flight").otherwise(F.col("state")), "attempts": F.col("attempts") + claimed.cast("int")}).select(*frontier.columns)
+
+
+def settle(frontier: DataFrame, outcomes: DataFrame, max_attempts: int) -> DataFrame:
+    """The frontier after outcomes (item_id, outcome, error) of items in flight: done, gone, blocked (failed at once) or
+    failed (pending again while attempts remain). An outcome of an item that is not in flight stops the job."""
+    if max_attempts < 1:
+        raise ValueError("max_attempts must be at least 1")
+    o = outcomes.select("item_id", F.col("outcome").alias("_outcome"), F.col("error").alias("_error"))
+    joined = frontier.join(o, "item_id", "full")
+    outcome = F.col("_outcome")
+    after = (
+        F.when(outcome.isNull(), F.col("state"))
+        .when(~F.col("state").eqNullSafe("in_flight"), F.raise_error(F.concat(F.col("item_id").cast("string"), F.lit(" is not in flight"))))
+        .when(outcome.isin("done", "gone"), outcome)
+        .when((outcome == "blocked") | (F.col("attempts") >= max_attempts), "failed")
+        .otherwise("pending")
+    )
+    error = F.when(outcome.isNull(), F.col("last_error")).otherwise(F.col("_error"))
+    return joined.withColumns({"state": after, "last_error": error}).select(*frontier.columns)
+
+
+def reset_in_flight(frontier: DataFrame) -> DataFrame:
+    """The frontier of an interrupted run: items in flight are pending again and get their attempt back."""
+    flying = F.col("state") == "in_flight"
+    attempts = F.when(flying, F.greatest(F.col("attempts") - 1, F.lit(0))).otherwise(F.col("attempts"))
+    return frontier.withColumns({"attempts": attempts, "state": F.when(flying, "pending").otherwise(F.col("state"))})
+
+
+def retry_failed(frontier: DataFrame) -> DataFrame:
+    failed = F.col("state") == "failed"
+    return frontier.withColumns({"attempts": F.when(failed, 0).otherwise(F.col("attempts")), "state": F.when(failed, "pending").otherwise(F.col("state"))})
+
+
+def clamp_settings(wanted: DataFrame, scope: Scope) -> DataFrame:
+    """Wanted cost_min, cost_max and rarities brought within the scope, and ``widened``: the names of the fields that asked for more."""
+    low, high = (clamp(F.col(c), scope.min_cost, scope.max_cost) for c in ("cost_min", "cost_max"))
+    offered = F.array(*[F.lit(r) for r in scope.rarities])
+    beyond = F.size(F.array_except("rarities", offered)) > 0
+    kept = F.array_intersect(offered, F.col("rarities"))
+    names = F.array(
+        F.when(low != F.col("cost_min"), "cost_min"), F.when(high != F.col("cost_max"), "cost_max"), F.when(beyond, "rarities"),
+    )
+    narrowed = {"cost_min": low, "cost_max": high, "rarities": F.when(F.size(kept) > 0, kept).otherwise(offered), "widened": F.array_compact(names)}
+    return wanted.withColumns(narrowed)

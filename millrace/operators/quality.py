@@ -92,3 +92,32 @@ def with_previous(metrics: DataFrame, previous: DataFrame) -> DataFrame:
     p = previous.select("metric", F.col("value").alias("prev_value"))
     change = F.when(F.col("prev_value").isNull() | (F.col("prev_value") == 0), F.lit(None).cast("double")).otherwise(100.0 * (F.col("value") - F.col("prev_value")) / F.col("prev_value"))
     return metrics.join(p, "metric", "left").select("metric", "value", "prev_value", F.round(change, 9).alias("delta_pct"))
+
+
+def contract_violations(df: DataFrame, contract: dict[str, dict]) -> DataFrame:
+    """name, rule, rows: how many rows break each rule of a contract, in one pass; rules of absent columns are broken by all rows.
+
+    A column's rules are ``required``, ``pattern``, ``minimum``, ``maximum`` and ``enum``; nulls break ``required`` alone.
+    Columns that the contract doesn't name are told with the rule ``unknown``.
+    """
+    broken = {
+        "required": lambda c, want: c.isNull() & F.lit(want),
+        "pattern": lambda c, want: ~c.cast("string").rlike(want),
+        "minimum": lambda c, want: c < want,
+        "maximum": lambda c, want: c > want,
+        "enum": lambda c, want: ~c.isin(want),
+    }
+    counts = []
+    for name, rules in contract.items():
+        for rule, want in rules.items():
+            bad = F.count_if(broken[rule](F.col(name), want)) if name in df.columns else F.count("*")
+            counts.append((name, rule, bad))
+    counts += [(name, "unknown", F.count("*")) for name in df.columns if name not in contract]
+    totals = df.agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(counts)])
+    rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(rule).alias("rule"), F.col(f"n{i}").alias("rows")) for i, (name, rule, _) in enumerate(counts)])
+    return totals.select(F.inline(rows))
+
+
+def exactly_shipped(found: list[str], shipped: list[str]) -> list[tuple[str, str]]:
+    """Tables that a published folder lacks or has beyond the shipped ones, in order; names alone, so a driver's list."""
+    return [(t, "missing") for t in sorted(set(shipped) - set(found))] + [(t, "unexpected") for t in sorted(set(found) - set(shipped))]

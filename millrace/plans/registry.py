@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from millrace.plans import history, packages, relational, release, sourcing, warehouse  # noqa: F401
+    from millrace.plans import history, packages, records, relational, release, sourcing, warehouse  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

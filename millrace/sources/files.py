@@ -95,3 +95,8 @@ def current_revision(spark: SparkSession, folder: str) -> int | None:
 
 def read_current(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/revision={current_revision(spark, folder)}")
+
+
+def ordered_export(df: DataFrame, keys: list[str], path: str) -> None:
+    """Rows as JSON lines in the order of their keys, over files whose names follow the same order."""
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("ignoreNullFields", False).json(path)
