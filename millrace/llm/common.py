@@ -91,6 +91,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def decoded(column: pa.Array) -> list[str]:
+    """Texts of an Arrow string column; null is empty, and bytes that aren't UTF-8 are read as U+FFFD."""
+    return [(t or b"").decode("utf-8", "replace") for t in column.cast(pa.large_binary()).to_pylist()]
+
+
 def passes(at: np.ndarray, most: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows [a, b) of at most ``most`` bytes together, or a single longer row."""
     a, n = 0, len(at) - 1
