@@ -22,12 +22,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import checkpoint, decoded, fresh
+from millrace.llm.common import checkpoint, fresh, passes, utf8
 
 #: Labelled rows that the model is fitted on, on average at most.
 SAMPLE_ROWS = 20_000
@@ -37,8 +37,8 @@ SIZES, BUCKETS, FEATURES = (3, 4, 5, 6), 1 << 20, 4096
 SMOOTHING, MIN_TEXTS, CERTAINTY = 1.0, 4, 3.0
 #: Strength of the ridge, and the score from which a text is predicted to be of label 1.
 RIDGE, THRESHOLD = 0.001, 0.3
-#: Code points that a numpy pass takes at once; a longer text goes through several.
-PASS_CHARS = 1 << 20
+#: Bytes of texts, and code points of a long one, that a numpy pass takes at once.
+PASS = 1 << 18
 
 
 def hashed(points: np.ndarray, n: int) -> np.ndarray:
@@ -54,20 +54,14 @@ def hashed(points: np.ndarray, n: int) -> np.ndarray:
     return rolled & np.uint32(BUCKETS - 1)
 
 
-def groups(texts: list[str], size: int = PASS_CHARS) -> Iterator[tuple[int, int]]:
-    """Runs of texts [a, b) of at most ``size`` code points together, or a single longer text."""
-    a = many = 0
-    for b, text in enumerate(texts):
-        n = len(text)
-        if b > a and many + n > size:
-            yield a, b
-            a, many = b, 0
-        many += n
-    if a < len(texts):
-        yield a, len(texts)
+def parts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """Runs of rows [a, b) with their texts, of at most PASS bytes together, or a single longer text."""
+    raw, at = utf8(column)
+    for a, b in passes(at, PASS):
+        yield a, b, [raw[at[i] : at[i + 1]].tobytes().decode("utf-8", "replace") for i in range(a, b)]
 
 
-def held(texts: list[str], feature_of: np.ndarray | None = None, size: int = PASS_CHARS) -> tuple[np.ndarray, np.ndarray]:
+def held(texts: list[str], feature_of: np.ndarray | None = None, size: int = PASS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (text, feature), each once and in order, of what the texts hold. feature_of: of a bucket, -1 for none."""
     points = [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     flat, row = np.concatenate(points), np.repeat(np.arange(len(texts)), [len(p) for p in points])
@@ -98,9 +92,9 @@ class Model:
 
     def scores(self, texts: list[str], table: np.ndarray) -> np.ndarray:
         total = np.full(len(texts), self.intercept)
-        for a, b in groups(texts) if len(self.buckets) else ():
-            row, feature = held(texts[a:b], table)
-            total[a:b] += np.bincount(row, self.weights[feature], b - a)
+        if len(self.buckets):
+            row, feature = held(texts, table)
+            total += np.bincount(row, self.weights[feature], len(texts))
         return 1.0 / (1.0 + np.exp(-np.clip(total, -700, 700)))
 
 
@@ -125,7 +119,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     )
     many = found.agg(F.approx_count_distinct("_h")).first()[0]
     thinned = found.where(F.pmod("_h", F.lit(span)) < F.lit(share(many))) if many > 1.2 * rows else found
-    return checkpoint(thinned.groupBy("_h").agg(F.first("_label").alias("_label"), F.first("_text").alias("_text")).drop("_h"))
+    once = thinned.groupBy("_h").agg(F.first("_label").alias("_label"), F.first("_text").alias("_text"))
+    # bytes that aren't UTF-8 are replaced here, as a UDF can't read them
+    return checkpoint(once.select("_label", F.make_valid_utf8("_text").alias("_text")))
 
 
 def counted(sample: DataFrame) -> DataFrame:
@@ -134,12 +130,12 @@ def counted(sample: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
-            label, texts = batch.column("_label").to_numpy(), decoded(batch.column("_text"))
-            for a, b in groups(texts):
-                row, bucket = held(texts[a:b])
+            label = batch.column("_label").to_numpy()
+            for a, b, texts in parts(batch.column("_text")):
+                row, bucket = held(texts)
                 one = label[a:b][row] > 0
-                counts[1] += np.bincount(bucket[one], minlength=BUCKETS)
-                counts[0] += np.bincount(bucket[~one], minlength=BUCKETS)
+                np.add.at(counts[1], bucket[one], 1)
+                np.add.at(counts[0], bucket[~one], 1)
         some = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1][some]), pa.array(counts[0][some])], names=["bucket", "ones", "zeros"])
 
@@ -170,17 +166,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", key:
         return Model(math.log((ones + 1) / (n - ones + 1)))
     table = Model(0.0, buckets).table()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = decoded(batch.column("_text"))
-            for a, b in groups(texts):
-                row, feature = held(texts[a:b], table)
-                ends = np.searchsorted(row, np.arange(b - a + 1))
-                yield pa.RecordBatch.from_arrays([batch.column("_label").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))], names=["_label", "_features"])
-
-    width, value = len(buckets), ratio.tolist()
-    vector = F.udf(lambda at: Vectors.sparse(width, at, [value[i] for i in at]), VectorUDT())
-    ready = checkpoint(sample.mapInArrow(run, "_label double, _features array<int>").select("_label", vector("_features").alias("_x")).coalesce(4))
+    value = ratio.tolist()
+
+    def vector(text: str) -> SparseVector:
+        at = held([text], table)[1].tolist()
+        return Vectors.sparse(len(value), at, [value[i] for i in at])
+
+    ready = checkpoint(sample.select("_label", F.udf(vector, VectorUDT())("_text").alias("_x")))
     fitted = LogisticRegression(labelCol="_label", featuresCol="_x", regParam=RIDGE, elasticNetParam=0.0, standardization=False, maxIter=100, tol=1e-4).fit(ready)
     return Model(float(fitted.intercept), buckets, fitted.coefficients.toArray() * ratio)
 
@@ -194,7 +186,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", *, threshold: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
         for batch in batches:
-            score = model.scores(decoded(batch.column(batch.num_columns - 1)), table)
+            found = [model.scores(texts, table) for _, _, texts in parts(batch.column(batch.num_columns - 1))]
+            score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=schema.names)
 
     return read.mapInArrow(run, schema)

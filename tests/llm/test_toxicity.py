@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,10 +43,11 @@ def test_features_are_those_of_each_text_alone(size):
     assert len(row) == sum(len(brute_features(t)) for t in texts)
 
 
-def test_groups_cover_all_texts():
-    texts = ["ab", "", "abcdef", "x", "yz"]
-    assert [*toxicity.groups(texts, 3)] == [(0, 2), (2, 3), (3, 5)]
-    assert [*toxicity.groups([], 3)] == []
+def test_parts_cover_all_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "PASS", 3)
+    found = [*toxicity.parts(pa.array(["ab", "", "abcdef", "x", None, "yz"]))]
+    assert found == [(0, 2, ["ab", ""]), (2, 3, ["abcdef"]), (3, 6, ["x", "", "yz"])]
+    assert [*toxicity.parts(pa.array([], pa.string()))] == []
 
 
 def test_counts_and_ratios_equal_brute_force(spark):
