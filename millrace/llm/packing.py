@@ -2,7 +2,8 @@
 
 A document is its token ids and an end id; one longer than a sequence is cut into whole sequences from its end, so that
 only its first piece may be shorter. For a bin, a bitset subset-sum over the lengths still there finds the fullest
-combination with the longest of them; it is taken as often as the counts allow, and what it used is removed.
+combination with the longest of them; it is taken as often as the counts allow, and what it used is removed. Plans with
+some slack allowed are made as well, the best stays, and its emptiest sequences are packed anew while that saves one.
 
 Only lengths matter to the plan, so it is made from a histogram of at most ``capacity`` counts however many documents
 there are. The pieces stay on the executors: each has a rank among the pieces of its length (its place within its
@@ -20,7 +21,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, pairwise
+from itertools import accumulate, pairwise, product
 
 import numpy as np
 import public_tokenizers
@@ -81,35 +82,71 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str = "d
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def fullest(counts: dict[int, int], room: int) -> list[int]:
-    """Lengths (with repeats, at most their counts) whose sum is the greatest up to ``room``."""
+def even(counts: dict[int, int], room: int, slack: int = 0) -> list[int]:
+    """Lengths (with repeats, at most their counts) whose sum is within ``slack`` of the greatest up to ``room``; of the
+    combinations that the longest lengths suffice for, the fullest one, whose shortest length is as long as can be."""
     usable = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
     within, reach, steps = (1 << (room + 1)) - 1, 1, []
+    enough = max(0, room - slack)
     for n in usable:
         left, take = min(counts[n], room // n), 1
-        while left and not reach >> room & 1:
+        while left and not reach >> enough:
             k = min(take, left)
             steps.append((n, k, reach))
             reach |= reach << (n * k) & within
             left, take = left - k, take * 2
-        if reach >> room & 1:
+        if reach >> enough:
             break
     total, out = reach.bit_length() - 1, []
     for n, k, before in reversed(steps):
         if not before >> total & 1:
             out += [n] * k
             total -= n * k
+    return sorted(out, reverse=True)
+
+
+def steep(counts: dict[int, int], room: int, slack: int = 0) -> list[int]:
+    """As :func:`even`, but of all combinations within ``slack`` the one with the most of the longest, then of the next."""
+    usable = sorted(n for n, c in counts.items() if c and n <= room)
+    within, reach = (1 << (room + 1)) - 1, [1]  # sums of the first lengths, a bit for each
+    for n in usable:
+        sums, left, take = reach[-1], min(counts[n], room // n), 1
+        while left:
+            k = min(take, left)
+            sums |= sums << (n * k) & within
+            left, take = left - k, take * 2
+        reach.append(sums)
+    most = room
+    least = max(0, reach[-1].bit_length() - 1 - slack)
+    out: list[int] = []
+    for i in range(len(usable) - 1, -1, -1):
+        n = usable[i]
+        for k in range(min(counts[n], most // n), -1, -1):
+            a, b = max(least - k * n, 0), most - k * n
+            if reach[i] >> a & ((1 << (b - a + 1)) - 1):
+                out += [n] * k
+                least, most = a, b
+                break
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+#: How far a bin may stay below the fullest combination, if that takes longer pieces: each is tried, the best plan stays.
+SLACKS = (0, 1, 2, 4, 8, 16, 32, 64, 128, 1 << 20)
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def sequences(planned: Plan) -> int:
+    return sum(times for _, times in planned)
+
+
+def fill_bins(histogram: dict[int, int], capacity: int, slack: int = 0, choose=even) -> Plan:
     """Combinations of lengths, longest first, and how many sequences get each; together they use up the histogram."""
     counts = {n: c for n, c in histogram.items() if c}
     out = []
     while counts:
         seed = max(counts)
         counts[seed] -= 1
-        combination = tuple(sorted([seed, *fullest(counts, capacity - seed)], reverse=True))
+        combination = (seed, *choose(counts, capacity - seed, slack))
         counts[seed] += 1
         used = Counter(combination)
         times = min(counts[n] // k for n, k in used.items())
@@ -121,6 +158,55 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
     return out
 
 
+def lengths_of(planned: Plan) -> Counter[int]:
+    out: Counter[int] = Counter()
+    for combination, times in planned:
+        for n in combination:
+            out[n] += times
+    return out
+
+
+def best_plan(histogram: dict[int, int], capacity: int) -> Plan:
+    """The plan of the fewest sequences over all slacks and both ways to choose."""
+    least = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    best: Plan | None = None
+    for slack, choose in product(SLACKS, (even, steep)):
+        tried = fill_bins(histogram, capacity, slack, choose)
+        if best is None or sequences(tried) < sequences(best):
+            best = tried
+        if sequences(best) == least:
+            break
+    return best or []
+
+
+def worst(planned: Plan, n: int) -> tuple[Plan, Plan]:
+    """The n emptiest sequences, and the others."""
+    taken, rest = [], []
+    for combination, times in sorted(planned, key=lambda x: sum(x[0])):
+        k = min(times, n)
+        n -= k
+        if k:
+            taken.append((combination, k))
+        if times > k:
+            rest.append((combination, times - k))
+    return taken, rest
+
+
+def plan(histogram: dict[int, int], capacity: int) -> Plan:
+    """A plan, whose emptiest sequences are packed anew, more and more of them, as long as that saves one."""
+    best = best_plan(histogram, capacity)
+    least = -(-sum(n * c for n, c in histogram.items()) // capacity)
+    n = 8
+    while sequences(best) > least and n < 2 * sequences(best):
+        taken, rest = worst(best, n)
+        again = best_plan(lengths_of(taken), capacity)
+        if sequences(again) < sequences(taken):
+            best = rest + again
+        else:
+            n *= 2
+    return best
+
+
 class Places:
     """Sequence and offset of the piece that is the r-th of its length."""
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from millrace.llm import packing
@@ -16,9 +17,12 @@ def test_fullest_is_the_best_sum():
         sums = {0}
         for n, c in counts.items():
             sums = {s + n * k for s in sums for k in range(c + 1) if s + n * k <= room}
-        got = packing.fullest(counts, room)
-        assert sum(got) == max(sums)
-        assert all(k <= counts[n] for n, k in Counter(got).items())
+        for choose in (packing.even, packing.steep):
+            for slack in (0, 3):
+                got = choose(counts, room, slack)
+                assert max(sums) - slack <= sum(got) <= max(sums)
+                assert all(k <= counts[n] for n, k in Counter(got).items())
+            assert sum(choose(counts, room)) == max(sums)
 
 
 def test_plan_uses_all_and_is_tight():
@@ -36,6 +40,51 @@ def test_plan_uses_all_and_is_tight():
     assert packing.plan({}, 100) == []
 
 
+def best_fit_decreasing(histogram, capacity):
+    room, bins = [0] * (capacity + 1), 0
+    for n in sorted(histogram, reverse=True):
+        for _ in range(histogram[n]):
+            r = next((r for r in range(n, capacity + 1) if room[r]), None)
+            bins, r = (bins + 1, capacity) if r is None else (bins, r)
+            if room[r]:
+                room[r] -= 1
+            room[r - n] += 1
+    return bins
+
+
+def test_ways_to_choose():
+    assert packing.steep({5: 1, 4: 2, 3: 3}, 10) == [4, 3, 3]
+    assert packing.steep({5: 1, 4: 2, 3: 3}, 10, 1) == [5, 4]
+    assert packing.even({9: 1, 5: 2, 4: 2, 1: 5}, 10) == [5, 5] and packing.steep({9: 1, 5: 2, 4: 2, 1: 5}, 10) == [9, 1]
+    assert packing.even({}, 10, 3) == packing.steep({}, 10, 3) == []
+
+
+def test_never_more_sequences_than_best_fit_decreasing():
+    rng = random.Random(13)
+    for _ in range(120):
+        capacity = rng.choice([50, 100, 300, 1024])
+        low = rng.randint(1, capacity // 3)
+        lengths = [rng.randint(low, rng.randint(low + 1, capacity)) for _ in range(rng.choice([20, 100, 400]))]
+        planned = packing.plan(dict(Counter(lengths)), capacity)
+        assert packing.lengths_of(planned) == Counter(lengths)
+        assert all(sum(c) <= capacity for c, _ in planned)
+        assert packing.sequences(planned) <= best_fit_decreasing(Counter(lengths), capacity)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_given_tables_take_no_more_than_best_fit_decreasing(spark, vocabulary, sf):
+    """Places on a given table neither overlap nor leave a gap, and are as few as they can be."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    got = packing.pack(docs, vocabulary("byte_bpe_50k.json"), 1024, end_id=2).select("doc_id", "length", "sequence_id", "offset").toPandas()
+    got = got.sort_values(["sequence_id", "offset"])
+    ends = got.groupby("sequence_id").length.cumsum()
+    assert (got.offset == ends - got.length).all() and ends.max() <= 1024
+    assert got.doc_id.nunique() == docs.count()
+    used, histogram = got.sequence_id.nunique(), Counter(got.length.tolist())
+    assert used <= best_fit_decreasing(histogram, 1024)
+    assert used == -(-got.length.sum() // 1024)
+
+
 def test_pack(docs, vocabulary):
     path = vocabulary("byte_bpe_50k.json")
     capacity = 64
