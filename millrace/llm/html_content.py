@@ -4,9 +4,9 @@ Each box (an element that isn't inline) is a variable: content or not. A logisti
 speaks for the box, a potential of two boxes for parent and child, and sum-product messages, up from the leaves and down
 from the root, give every box's marginal. Text in boxes whose marginal is at least a half is the page's text. The
 potentials are learned from labelled pages: a few written for the purpose (:mod:`millrace.llm.labelled_pages`) and a
-bounded sample of pages that mark their article themselves. Each of these is learned from three times: as it is, with a
-plain ``div`` for the article, and with the article's boxes in the body itself, so that pages which mark nothing are
-judged by what is in them.
+bounded sample of pages that mark their article themselves. Each of these is learned from four times: as it is, with a
+plain ``div`` for the article, with the article's boxes in the body itself, so that pages which mark nothing are judged by
+what is in them, and one of the three with readers' comments made of the article's own words.
 
 Defined cases: null or empty html gives empty text; markup that is cut off or badly nested is closed as browsers do where
 that is simple (a paragraph ends where the next box begins, unknown end tags are skipped); a ``<`` that begins no tag is
@@ -68,14 +68,23 @@ NAME_PARTS = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.I)
 ENDS = (".", "!", "?", "…", ":", ";", "。")
 #: Signs in a short text that it is about the site.
-SITE = re.compile(r"©|\(c\)\s|copyright|rights reserved|cookies|imprint|sponsored|subscribe|privacy", re.I)
+SITE = re.compile(
+    r"©|\(c\)\s|copyright (?:©|\d|by)|rights reserved|^imprint\b|^sponsored\b|sponsored (?:by|content|post)|subscribe (?:to|now|for|today)|^subscribe\b"
+    r"|privacy (?:policy|notice|settings)|cookie (?:policy|notice|settings)|(?:we|this site|website) (?:also )?uses? cookies|accept (?:all )?cookies",
+    re.I,
+)
 #: Words of a text above which such signs mean nothing.
 SITE_WORDS = 40
+#: Words from which a linked text that ends as sentences do is one.
+LINKED_WORDS = 4
+
+#: Elements that are not content even inside an article.
+NEVER = set("nav aside footer form header script style menu dialog".split())
 
 #: Log odds against the root, which stands for the page as a whole.
 ROOT = 12.0
 
-FEATURES = ["bias", *(f"tag {t}" for t in TAGS), "tag other", *(f"named {w}" for w in WORDS), "hidden", "link share", "words", "sentences", "has text", "top", "deep", "site", "in mark", "siblings", "share"]
+FEATURES = ["bias", *(f"tag {t}" for t in TAGS), "tag other", *(f"named {w}" for w in WORDS), "hidden", "link share", "words", "sentences", "has text", "top", "deep", "site", "in mark", "siblings", "share", "linked sentence", "under comments", "under aside"]
 PLACE = {f: i for i, f in enumerate(FEATURES)}
 
 
@@ -213,7 +222,7 @@ def features(page: Page) -> np.ndarray:
     both = np.zeros((n, 2 * len(FEATURES)))
     out = both[:, : len(FEATURES)] if any_mark else both[:, len(FEATURES) :]
     out[:, 0] = 1
-    depth, texts = [0] * n, own_text(page)
+    depth, texts, discussed, apart = [0] * n, own_text(page), [False] * n, [t in NEVER for t in page.tags]
     # words of text that isn't linked: of each box, of it and all below it, and of its parent's boxes together
     size = [(t.count(" ") + 1) * max(0.0, 1 - page.linked[i] / len(t)) if t else 0.0 for i, t in enumerate(texts)]
     below, beside = size[:], [0.0] * n
@@ -238,9 +247,14 @@ def features(page: Page) -> np.ndarray:
             row[PLACE["words"]] = math.log1p(words) / 5
             row[PLACE["sentences"]] = text.endswith(ENDS)
             row[PLACE["site"]] = words <= SITE_WORDS and bool(SITE.search(text))
+            row[PLACE["linked sentence"]] = words >= LINKED_WORDS and text.endswith(ENDS) and 2 * page.linked[i] > len(text)
         if i:
             marked[i] = marked[i] or marked[page.parents[i]]
             row[PLACE["siblings"]] = math.log1p(beside[page.parents[i]]) / 5
+        discussed[i] = bool(row[PLACE["named comment"]]) or (i > 0 and discussed[page.parents[i]])
+        row[PLACE["under comments"]] = discussed[i]
+        apart[i] = apart[i] or (i > 0 and apart[page.parents[i]])
+        row[PLACE["under aside"]] = apart[i]
         row[PLACE["in mark"]] = marked[i]
         row[PLACE["share"]] = below[i] / below[0] if below[0] else 0.0
         row[PLACE["top"]] = depth[i] <= 2
@@ -295,10 +309,6 @@ def labels_of(page: Page, main: list[bool], other: list[bool]) -> np.ndarray:
     return out
 
 
-#: Elements that are not content even inside an article.
-NEVER = set("nav aside footer form header script style menu dialog".split())
-
-
 def self_labelled(page: Page) -> np.ndarray | None:
     """Labels of a page that marks one article; None for other pages."""
     marks = [t == "article" for t in page.tags]
@@ -328,6 +338,45 @@ def unwrapped(page: Page, labels: np.ndarray) -> tuple[Page, np.ndarray]:
     return Page([page.tags[i] for i in stays], parents, [page.attributes[i] for i in stays], blocks, linked), labels[stays]
 
 
+#: How comments may be named, on their list, each of them, and its author; and what their heading says.
+COMMENTED = (
+    (" id='comments'", " class='comment'", " class='comment-author'", "{n} comments"), (" class='comments'", "", "", "Comments"), (" class='discussion'", " class='reply'", "", "{n} replies"),
+    (" id='respond'", " class='comment-body'", " class='author'", "What readers say"), (" class='comment-list'", " id='comment-{n}'", "", "{n} thoughts on this"),
+)
+
+
+def commented(page: Page, labels: np.ndarray, turn: int) -> tuple[Page, np.ndarray]:
+    """The page and its labels with readers' comments after the article, beside it or at the end of the body.
+
+    Their words are the article's own, so that nothing but place and names tells them apart.
+    """
+    texts = [t for b, t in page.blocks if labels[b]][:4]
+    main = next((i for i in range(len(labels)) if labels[i]), 0)
+    body = next((i for i, t in enumerate(page.tags) if t == "body"), 0)
+    made = Page(*map(list, (page.tags, page.parents, page.attributes, page.blocks, page.linked)))
+    whole, one, author, heading = COMMENTED[turn % len(COMMENTED)]
+
+    def box(tag: str, parent: int, attributes: str = "", text: str = "") -> int:
+        made.tags.append(tag)
+        made.parents.append(parent)
+        made.attributes.append(attributes)
+        made.linked.append(0)
+        if text:
+            made.blocks.append((len(made.tags) - 1, text))
+        return len(made.tags) - 1
+
+    around = box(("section", "div", "ol")[turn % 3], page.parents[main] if turn % 2 and main else body, whole)
+    box(("h2", "h3")[turn % 2], around, "", heading.format(n=len(texts)))
+    for n, text in enumerate(texts):
+        each = box(("div", "li")[turn % 3 == 2], around, one.format(n=n))
+        if author:
+            box("div", each, author, "Ann")
+        box("p", each, "", text)
+        if n % 2:  # a reply inside
+            box("p", box("div", each, one.format(n=f"{n}-1")), "", text)
+    return made, np.concatenate([labels, np.zeros(len(made.tags) - len(labels), np.int64)])
+
+
 def couplings(page: Page, labels: np.ndarray) -> np.ndarray:
     """How each pair potential (parent label, child label: 00, 01, 10, 11) moves each box's log odds, its relatives' labels given."""
     out = np.zeros((len(labels), 4))
@@ -374,9 +423,11 @@ def fit(pages: DataFrame, key: str = "page_id", source: str = "html", *, sample:
         page = parse(row["s"])
         labels = self_labelled(page)
         if labels is not None:
-            found += [(page, labels, 1 / 3), (unmarked(page), labels, 1 / 3), (*unwrapped(page, labels), 1 / 3)]
+            kinds = [(page, labels), (unmarked(page), labels), unwrapped(page, labels)]
+            turn = len(found) // 4
+            found += [(p, y, 1 / 4) for p, y in (*kinds, commented(*kinds[turn % 3], turn))]
     written = labelled_pages()
-    boxes = sum(len(p.tags) for p, _, _ in found) / 3
+    boxes = sum(len(p.tags) for p, _, _ in found) / 4
     weight = max(1.0, boxes / max(1, sum(len(p.tags) for p, _ in written)))
     return learn([*((p, y, weight) for p, y in written), *found])
 

@@ -55,6 +55,29 @@ PAGES += [
 ]
 
 
+LINKED = f"<p><a href='/rain'>{SHORT}</a></p>"
+COOKIES = "A new law on cookies was passed."
+PRIVACY = "The judges found that privacy had been breached, and that copyright had not."
+TALK = "I was on that boat, and it was colder than you say. Thanks for writing this."
+ANSWER = "So was I, and I remember the fog."
+
+#: Pages with comments of readers, link paragraphs, and articles about what sites say of themselves.
+PAGES += [
+    f"<body>{NAV}<main data-y='1'><h1>The last ferry</h1><p>{LONG}</p><p>{SHORT}</p><section id='comments' data-y='0'><h2>3 comments</h2><p>{TALK}</p><p>{ANSWER}</p><p>{MIDDLE}</p></section></main>{FOOT}</body>",
+    f"<body>{NAV}<div class='post' data-y='1'><h1>The last ferry</h1><p>{LONG}</p><p>{MIDDLE}</p></div><div class='comments'><div class='comment'><b>Ann</b><p>{TALK}</p></div><div class='comment'><b>Bo</b><p>{ANSWER}</p><div class='comment reply'><b>Ann</b><p>{SHORT}</p></div></div></div>{FOOT}</body>",
+    f"<body><div class='menu'>{MENU}</div><div class='text' data-y='1'>{LONG}<br>{MIDDLE}</div><div id='comments'><h3>Discussion</h3><ol><li><cite>Ann</cite><p>{TALK}</p><ul><li><p>{ANSWER}</p></li></ul></li><li><p>{LONG}</p></li></ol></div></body>",
+    f"<body><h1 data-y='1'>The last ferry</h1><p data-y='1'>{LONG}</p><p data-y='1'>{MIDDLE}</p><div class='comment-list'><p>{LONG}</p><p>{TALK}</p></div></body>",
+    f"<body>{NAV}<main><div class='entry' data-y='1'><h1>The last ferry</h1><p>{LONG}</p><p>{LONG}</p></div><div id='respond'><h3>Leave a reply</h3><p>Your address will not be shown.</p></div><div id='disqus_thread'><p>{TALK}</p></div></main>{FOOT}</body>",
+    f"<body><article data-y='1'><h1>The last ferry</h1><p>{LONG}</p>{LINKED}<p>{MIDDLE}</p><section class='comments' data-y='0'><h3>2 comments</h3><p>{TALK}</p><p>{LONG}</p></section></article>{FOOT}</body>",
+    f"<body>{NAV}<article data-y='1'><h1>The last ferry</h1><p>{LONG}</p>{LINKED}<p><a href='/t'>{MIDDLE}</a></p></article>{FOOT}</body>",
+    f"<body><div>{MENU}</div><div data-y='1'><h1>The last ferry</h1><p>{LONG}</p>{LINKED}<p>{MIDDLE}</p></div><div>{LINKS}</div></body>",
+    f"<body><h1 data-y='1'>Cookies in court</h1><p data-y='1'>{COOKIES}</p><p data-y='1'>{LONG}</p><p data-y='1'>{PRIVACY}</p><div>&copy; Harbour News</div></body>",
+    f"<body>{NAV}<div data-y='1'><h1>Cookies in court</h1><p>{COOKIES}</p><p>{PRIVACY}</p><p>{MIDDLE}</p></div><div class='cookie'><p>This site uses cookies.</p></div>{FOOT}</body>",
+    f"<body>{NAV}<article data-y='1'><h1>What readers think</h1><p>Two hundred comments came in after the story on the ferry.</p><p>{LONG}</p><p>{COOKIES}</p></article>{FOOT}</body>",
+    f"<body>{NAV}<div class='story' data-y='1'><h1>A reply to the critics</h1><p>{LONG}</p><h2>Comments from the harbour</h2><p>{MIDDLE}</p></div>{FOOT}</body>",
+]
+
+
 def labelled_pages() -> list[tuple[Page, np.ndarray]]:
     out = []
     for source in PAGES:

@@ -90,6 +90,25 @@ def test_pages_without_an_article(fitted):
     assert hit / got > 0.95 and hit / want > 0.95
 
 
+def test_comments_go_and_linked_paragraphs_stay(fitted):
+    assert [fitted.extract(source) for source, _ in unmarked_pages.READERS] == [text for _, text in unmarked_pages.READERS]
+
+
+def test_comments_made_of_the_articles_words_go(spark, fitted):
+    sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").where("page_id % 2 = 1").collect()]
+    wrong = total = 0
+    for turn, source in enumerate(sources):
+        page = parse(source)
+        labels = html_content.self_labelled(page)
+        for some in ((page, labels), (html_content.unmarked(page), labels), html_content.unwrapped(page, labels)):
+            more, kept = html_content.commented(*some, turn + 1)
+            assert kept.sum() == some[1].sum() and len(kept) == len(more.tags)
+            found = fitted.marginals(more) >= 0.5
+            wrong += any(found[b] != kept[b] for b, _ in more.blocks)
+            total += 1
+    assert wrong < 0.05 * total
+
+
 def test_the_tables_pages_with_and_without_their_mark(spark, fitted):
     sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").where("page_id % 2 = 1").collect()]
     wants = list(map(main_text, sources))

@@ -21,3 +21,16 @@ PAGES = [
     (f"<html><body><center>{LINKS}</center><h1>The canal</h1>{A}<p>{B}<p>{C}</body></html>", f"The canal\n{A}\n{B}\n{C}"),
     (f"<html><body><div class='cookie'>We use cookies. <button>Fine</button></div><div class='wrap'><div class='side'>{LIST}</div><div class='story'><p>{A}</p><p>The gate weighs <math><mn>3</mn><mo>+</mo><mn>4</mn></math> tons.</p><object><p>{B}</p></object></div></div></body></html>", f"{A}\nThe gate weighs 3+4 tons.\n{B}"),
 ]
+
+#: Pages with comments of readers, link paragraphs and words of sites in the text: (html, text), which come out exactly.
+READERS = [
+    (f"<main><h1>The canal</h1><p>{A}</p><p>{B}</p><section id='comments'><h2>3 comments</h2><p>{C}</p></section></main>", f"The canal\n{A}\n{B}"),
+    (f"<body><div class='post'><h1>The canal</h1><p>{A}</p><p>{B}</p></div><div class='comments'><div class='comment'><b>Ann</b><p>{C}</p></div><div class='comment'><b>Bo</b><p>{D}</p></div></div></body>", f"The canal\n{A}\n{B}"),
+    (f"<div class='text'><p>{A}</p><p>{C}</p></div><div id='comments'><p>{B}</p></div>", f"{A}\n{C}"),
+    (f"<article><h1>The canal</h1><p>{A}</p><p><a href='/d'>{D}</a></p><p>{B}</p></article>", f"The canal\n{A}\n{D}\n{B}"),
+    (f"<body><h1>Law</h1><p>{A}</p><p>A new law on cookies was passed.</p><p>{B}</p></body>", f"Law\n{A}\nA new law on cookies was passed.\n{B}"),
+    (f"<body><nav>{LINKS}</nav><div id='story'><p>{A}</p><p>{B}</p></div><ul class='commentlist comments'><li class='comment'><p>{C}</p><ul class='children'><li><p>{D}</p></li></ul></li></ul></body>", f"{A}\n{B}"),
+    (f"<body><main><article><h1>The canal</h1><p>{A}</p></article><section class='discussion'><h2>Replies (2)</h2><article class='reply'><p>{B}</p></article><article class='reply'><p>{C}</p></article></section></main></body>", f"The canal\n{A}"),
+    (f"<body><p>{A}</p><p>{B}</p><div class='comments'>{C}<hr>{D}</div></body>", f"{A}\n{B}"),
+    (f"<body><header>{LINKS}</header><article><h1>The canal</h1><p>{A}</p><p>{C}</p><div class='comments'><h3>Comments</h3><div class='comment'><p>{B}</p></div></div></article></body>", f"The canal\n{A}\n{C}"),
+]
