@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -12,8 +13,12 @@ from pyspark.sql import functions as F
 #: Characters of an error's text that are kept.
 ERROR_CHARS = 1000
 RECORDS = "page_id long, record string, ordinal long, label string, value string"
-ROW = pa.struct([("section", pa.string()), ("label", pa.string()), ("cells", pa.list_(pa.string()))])
-TABLES = "page_id long, title string, rows array<struct<section: string, label: string, cells: array<string>>>, error string"
+ROW = pa.struct([("section", pa.string()), ("label", pa.string()), ("cells", pa.list_(pa.string())), ("links", pa.list_(pa.string()))])
+TABLES = "page_id long, title string, rows array<struct<section: string, label: string, cells: array<string>, links: array<string>>>, error string"
+#: White space, but for the control separators, which make a page invalid.
+BLANK = re.compile(r"[^\S\x1C-\x1F]+")
+#: Pages of a task that parses them.
+TASK_PAGES = 5000
 
 
 class PageParser(HTMLParser):
@@ -88,7 +93,8 @@ def lineage_links(records: DataFrame) -> DataFrame:
 
 
 class TableParser(HTMLParser):
-    """The title and the table rows of a page: heading above, label (``th``) and cells (``td``); ``br`` is a new line."""
+    """The title and the table rows of a page: heading above, label (``th``), cells (``td``) and where each cell's last link
+    leads; ``br`` is a new line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -96,11 +102,12 @@ class TableParser(HTMLParser):
         self.section = ""
         self.rows: list[dict] = []
         self.tag: str | None = None
+        self.link: str | None = None
         self.text: list[str] = []
 
     def close_cell(self):
         tag, self.tag = self.tag, None
-        value = "\n".join(" ".join(line.split()) for line in "".join(self.text).split("\n")).strip()
+        value = "\n".join(" ".join(filter(None, BLANK.split(line))) for line in "".join(self.text).split("\n")).strip("\n")
         if tag == "title":
             if self.title is not None:
                 raise ValueError("two titles")
@@ -114,16 +121,19 @@ class TableParser(HTMLParser):
                 self.rows[-1]["label"] = value
             else:
                 self.rows[-1]["cells"].append(value)
+                self.rows[-1]["links"].append(self.link)
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.text.append("\n")
+        elif tag == "a":
+            self.link = dict(attrs).get("href") or self.link
         elif tag in ("title", "h2", "th", "td", "tr"):
             self.close_cell()
             if tag == "tr":
-                self.rows.append({"section": self.section, "label": None, "cells": []})
+                self.rows.append({"section": self.section, "label": None, "cells": [], "links": []})
             else:
-                self.tag, self.text = tag, []
+                self.tag, self.text, self.link = tag, [], None
 
     def handle_endtag(self, tag):
         if tag in (self.tag, "tr", "table"):
@@ -158,6 +168,12 @@ def page_tables(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInArrow(run, TABLES)
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Pages dealt out by id to as many tasks as their number calls for: parsing is dear, and small tables would be one task."""
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-pages.count() // TASK_PAGES))
+    return pages.repartition(tasks, "page_id")
+
+
 def cell(rows: Column, label: str) -> Column:
     """The first cell of the first row with a label; null if there is none."""
     return F.get(F.get(F.filter(rows, lambda r: r["label"] == label), F.lit(0))["cells"], F.lit(0))

@@ -168,16 +168,34 @@ def merged(found: DataFrame) -> DataFrame:
 
 
 def record(found: DataFrame, folder: str, run_id: str) -> None:
-    """Append the run's merged findings and its decision to the tables in ``folder``; a run that has been decided is refused."""
+    """Put the run's merged findings and then its decision into the tables in ``folder``; a run that has been decided is refused.
+
+    Findings lie in a partition for each run, which a run that was stopped before its decision writes over when it is
+    recorded again. A run is recorded once it is decided: :func:`recorded` leaves out findings of others.
+    """
     spark = found.sparkSession
     decision = decide(found).withColumn("run_id", F.lit(run_id))
     path = f"{folder}/gate_decision"
     if exists(spark, path) and not spark.read.schema(decision.schema).parquet(path).where(F.col("run_id") == run_id).isEmpty():
         raise ValueError(f"run {run_id} has been decided before")
-    merged(found).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{folder}/gate_finding")
+    own = merged(found).withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    own.partitionBy("run_id").parquet(f"{folder}/gate_finding")
     decision.write.mode("append").parquet(path)
 
 
+#: Columns of a recorded finding and of a decision.
+RECORDED = "check string, scope string, level int, affected long, population long, pct double, escalated boolean, consecutive_runs int, run_id string"
+DECISION = "decision string, publishable boolean, findings long, run_id string"
+
+
+def recorded(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings of all decided runs; a folder without any gives none."""
+    if not exists(spark, f"{folder}/gate_decision"):
+        return spark.createDataFrame([], RECORDED)
+    decided = spark.read.schema(DECISION).parquet(f"{folder}/gate_decision").select("run_id")
+    return spark.read.schema(RECORDED).parquet(f"{folder}/gate_finding").join(decided, "run_id", "left_semi").select(*spark.createDataFrame([], RECORDED).columns)
+
+
 def samples(rows: DataFrame, n: int = SAMPLE) -> DataFrame:
     """For each check the n least keys, found by partial aggregates that never hold more than n."""
     nth = F.row_number().over(Window.partitionBy("check").orderBy("entity_key"))

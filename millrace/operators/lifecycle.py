@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import first_token, json_text
+from millrace.functions.text import first_token, json_text, row_text
 
 
 @dataclass(frozen=True)
@@ -69,15 +69,33 @@ def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attribut
     """old_uid, new_uid, score, evidence: live items that equal a retired one in the attributes and in enough of its stats.
 
     The score is the share of different (label, tier, value) cells of the two that both have; 1 without any. stats: uid,
-    label, tier, value.
+    label, tier, value; one without a label doesn't count.
+
+    Two items reach the score only if they share one of their rarest cells: of n cells all but so many that the score can't
+    be made up by the others. So pairs are made by an equality join on attributes and rare cells, and where neither has
+    any cell; with a score of 0 or less to reach, all items with equal attributes are pairs, as all are results.
     """
-    o = retired.select(F.col("uid").alias("old_uid"), *[F.col(a).alias(f"_{a}") for a in attributes])
-    n = live.select(F.col("uid").alias("new_uid"), *attributes)
-    pairs = o.join(n, [F.col(a) == F.col(f"_{a}") for a in attributes]).where("old_uid <> new_uid").select("old_uid", "new_uid", *attributes)
-    cells = [pairs.join(stats, F.col(side) == F.col("uid")).select("old_uid", "new_uid", "label", "tier", "value", F.lit(side).alias("side")) for side in ("old_uid", "new_uid")]
-    sides = cells[0].union(cells[1]).groupBy("old_uid", "new_uid", "label", "tier", "value").agg(F.countDistinct("side").alias("sides"))
-    scores = sides.groupBy("old_uid", "new_uid").agg(F.count(F.when(F.col("sides") == 2, 1)).alias("stats_equal"), F.count("label").alias("stats_total"))
-    joined = pairs.join(scores, ["old_uid", "new_uid"], "left").fillna(0, ["stats_equal", "stats_total"])
+    both = retired.select("uid", *attributes, F.lit(True).alias("old")).unionByName(live.select("uid", *attributes, F.lit(False).alias("old")))
+    own = stats.where(F.col("label").isNotNull()).select("uid", row_text(["label", "tier", "value"]).alias("cell")).distinct()
+    cells = own.join(both.select("uid").distinct(), "uid", "left_semi")
+    sized = both.join(cells.groupBy("uid").agg(F.count("*").alias("n")), "uid", "left").fillna(0, ["n"])
+    o, n = ([c for c in (F.col("uid").alias(f"{side}_uid"), F.col("n").alias(f"{side}_n"))] for side in ("old", "new"))
+    olds, news = sized.where("old").select(*o, *attributes), sized.where("NOT old").select(*n, *attributes)
+    if min_score <= 0:
+        pairs = olds.join(news, attributes)
+    else:
+        frequency = cells.groupBy("cell").agg(F.count("*").alias("held"))
+        rank = F.row_number().over(Window.partitionBy("uid").orderBy("held", "cell"))
+        ranked = cells.join(frequency, "cell").withColumn("nth", rank).join(sized.select("uid", "n").distinct(), "uid")
+        rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(min_score) - F.lit(1e-9)) + 1).select("uid", "cell")
+        on = [*attributes, "cell"]
+        met = olds.join(rare.withColumnRenamed("uid", "old_uid"), "old_uid").join(news.join(rare.withColumnRenamed("uid", "new_uid"), "new_uid"), on)
+        near = met.where((F.col("new_n") >= F.col("old_n") * min_score - 1e-9) & (F.col("old_n") >= F.col("new_n") * min_score - 1e-9)).drop("cell").distinct()
+        pairs = near.unionByName(olds.where("old_n = 0").join(news.where("new_n = 0"), attributes))
+    pairs = pairs.where("old_uid <> new_uid")
+    of_old, of_new = (cells.select(F.col("uid").alias(f"{side}_uid"), "cell") for side in ("old", "new"))
+    equal = pairs.select("old_uid", "new_uid").distinct().join(of_old, "old_uid").join(of_new, ["new_uid", "cell"]).groupBy("old_uid", "new_uid").agg(F.count("*").alias("stats_equal"))
+    joined = pairs.join(equal, ["old_uid", "new_uid"], "left").fillna(0, ["stats_equal"]).withColumn("stats_total", F.col("old_n") + F.col("new_n") - F.col("stats_equal"))
     score = F.when(F.col("stats_total") == 0, 1.0).otherwise(F.col("stats_equal") / F.col("stats_total"))
     evidence = json_text(**{a: F.col(a) for a in attributes}, stats_equal=F.col("stats_equal"), stats_total=F.col("stats_total"))
     return joined.select("old_uid", "new_uid", score.alias("score"), evidence.alias("evidence")).where(F.col("score") >= min_score)

@@ -39,17 +39,22 @@ def decompose(df: DataFrame, name: str, elements: list[str]) -> DataFrame:
     return df.withColumn("family_id", hash_id("family_name"))
 
 
+#: What a line says before, between and after its parts.
+KIND, TOKEN, WEAPONS = r"^(.*?)\s+scales with", r"number of (\S+) elemental", "%elemental weapons%"
+CAP, PIECES = r"up to a max of (\S+)", r"needed for maximum effect: (\d+)"
+
+
 def scaling(df: DataFrame, line: str, elements: list[str]) -> DataFrame:
     """Rows with scale_kind, element_id, gear_kind, cap and pieces_needed of a scaling line."""
     d = clean_text(line, empty_as_null=False)
     part = lambda pattern: F.nullif(F.regexp_extract(d, pattern, 1), F.lit(""))
-    token = part(r"number of (\S+) elemental")
+    token = part(TOKEN)
     return df.withColumns(
         {
-            "scale_kind": F.coalesce(slug(F.regexp_extract(d, r"^(.*?)\s+scales with", 1)), F.lit("unknown")),
+            "scale_kind": F.coalesce(slug(F.regexp_extract(d, KIND, 1)), F.lit("unknown")),
             "element_id": F.when(token.isin(elements), token),
-            "gear_kind": F.when(d.like("%elemental weapons%"), "weapons").otherwise("gear"),
-            "cap": part(r"up to a max of (\S+)"),
-            "pieces_needed": part(r"needed for maximum effect: (\d+)").try_cast("long"),
+            "gear_kind": F.when(d.like(WEAPONS), "weapons").otherwise("gear"),
+            "cap": part(CAP),
+            "pieces_needed": part(PIECES).try_cast("long"),
         }
     )

@@ -143,6 +143,22 @@ def cdc_07(spark: SparkSession, d: str) -> DataFrame:
 LOG_SQL = "(SELECT CASE WHEN event_id % 9 = 0 THEN 'uid_alias' ELSE 'equipment' END AS entity_type, 'u' || user_id AS entity_key, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' WHEN 'purchase' THEN 'RETIRE' WHEN 'click' THEN 'ALIAS' ELSE 'UPDATE' END AS operation, event_id AS revision FROM events)"
 
 
+#: A log on documents: three changes of each key, whose kinds follow from lengths, and some keys of a ledger.
+DOC_LOG_SQL = """(SELECT CASE WHEN CAST(floor(doc_id / 3) AS BIGINT) % 5 = 0 THEN 'uid_alias' ELSE 'equipment' END AS entity_type, concat('d', CAST(floor(doc_id / 3) AS BIGINT)) AS entity_key,
+ CASE n_chars % 5 WHEN 0 THEN 'INSERT' WHEN 1 THEN 'UPDATE' WHEN 2 THEN 'RETIRE' WHEN 3 THEN 'ALIAS' ELSE 'DELETE' END AS operation, doc_id AS revision FROM documents)"""
+
+
+@query(
+    "cdc_09_net_operations_documents",
+    f"""WITH n AS (SELECT entity_type, entity_key, arg_min(operation, revision) AS f, arg_max(operation, revision) AS l, bool_or(operation IN ('INSERT', 'UPDATE')) AS w, max(revision) AS revision FROM {DOC_LOG_SQL} WHERE operation <> 'ALIAS' GROUP BY ALL)
+    SELECT entity_type, entity_key, CASE WHEN entity_type = 'uid_alias' THEN 'UPSERT' WHEN l = 'DELETE' THEN 'DELETE' WHEN w THEN 'UPSERT' ELSE 'RETIRE' END AS operation, revision FROM n WHERE entity_type = 'uid_alias' OR NOT (l = 'DELETE' AND f = 'INSERT')""",
+)
+def cdc_09_documents(spark: SparkSession, d: str) -> DataFrame:
+    """As cdc_09_net_operations_log, over a log that grows with the documents."""
+    table(spark, d, "documents").createOrReplaceTempView("documents_in")
+    return changes.net_operations(spark.sql(f"SELECT * FROM {DOC_LOG_SQL.replace('FROM documents', 'FROM documents_in')}"), ["uid_alias"])
+
+
 def change_log(spark: SparkSession, d: str) -> DataFrame:
     table(spark, d, "events").createOrReplaceTempView("events_in")
     return spark.sql(f"SELECT * FROM {LOG_SQL.replace('FROM events', 'FROM events_in')}")
@@ -260,6 +276,20 @@ def graph_02_blocks(spark: SparkSession, d: str) -> DataFrame:
     return graph.in_cycles(spark.sql(RINGS_SQL.replace("FROM customer", "FROM customer_in")))
 
 
+DOC_RINGS_SQL = "SELECT 'ring' AS kind, CAST(floor(doc_id / 60) AS BIGINT) * 100 + doc_id % 20 AS from_uid, CAST(floor(doc_id / 60) AS BIGINT) * 100 + (doc_id * 7 + 3) % 30 AS to_uid FROM documents"
+
+
+@query(
+    "graph_02_cycles_documents",
+    f"""WITH RECURSIVE e AS (SELECT DISTINCT * FROM ({DOC_RINGS_SQL})), r(a, b) AS (SELECT from_uid, to_uid FROM e UNION SELECT r.a, e.to_uid FROM r JOIN e ON e.from_uid = r.b), c AS (SELECT DISTINCT a AS u FROM r WHERE a = b),
+    f AS (SELECT u FROM c UNION SELECT r.b FROM r JOIN c ON c.u = r.a), t AS (SELECT u FROM c UNION SELECT r.a FROM r JOIN c ON c.u = r.b) SELECT DISTINCT 'ring' AS kind, f.u AS uid FROM f JOIN t ON t.u = f.u""",
+)
+def graph_02_documents(spark: SparkSession, d: str) -> DataFrame:
+    """As graph_02_cycles_in_blocks, with links between documents in blocks of 60."""
+    table(spark, d, "documents").createOrReplaceTempView("documents_in")
+    return graph.in_cycles(spark.sql(DOC_RINGS_SQL.replace("FROM documents", "FROM documents_in")))
+
+
 @query(
     "graph_03_alias_ends",
     "WITH RECURSIVE a AS (SELECT p_partkey AS o, CAST(floor(p_partkey / 2) AS BIGINT) AS n FROM part WHERE p_partkey % 4 > 0), w AS (SELECT o, n FROM a UNION ALL SELECT w.o, a.n FROM w JOIN a ON a.o = w.n) SELECT o AS old_uid, n AS end_uid FROM w WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.o = w.n)",
@@ -292,6 +322,18 @@ def graph_04_many(spark: SparkSession, d: str) -> DataFrame:
     return graph.expand(part.where("p_partkey % 5 = 1").select(F.col("p_partkey").alias("item_id")), linked, {"evolution": 2, "enlightening": 6})
 
 
+@query(
+    "graph_04_expand_documents",
+    """WITH RECURSIVE l AS (SELECT CAST(floor(doc_id / 3) AS BIGINT) AS s, CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 6 END AS most, doc_id AS t FROM documents WHERE doc_id > 0),
+    w(i, depth) AS (SELECT doc_id, 0 FROM documents WHERE doc_id % 5 = 1 UNION SELECT l.t, w.depth + 1 FROM w JOIN l ON l.s = w.i WHERE w.depth < l.most) SELECT i AS item_id, min(depth) AS depth FROM w GROUP BY i""",
+)
+def graph_04_documents(spark: SparkSession, d: str) -> DataFrame:
+    """As graph_04_expand_many, over links between documents."""
+    docs = table(spark, d, "documents")
+    linked = docs.where("doc_id > 0").selectExpr("CAST(floor(doc_id / 3) AS BIGINT) AS source_id", "CASE WHEN doc_id % 2 = 0 THEN 'evolution' ELSE 'enlightening' END AS kind", "doc_id AS target_id")
+    return graph.expand(docs.where("doc_id % 5 = 1").select(F.col("doc_id").alias("item_id")), linked, {"evolution": 2, "enlightening": 6})
+
+
 @query(
     "scope_01_decisions",
     f"""SELECT reason, reason IN ('name_token', 'cost_band') AS keep, count(*) AS n FROM (SELECT CASE WHEN lower(name) LIKE '%rod%' THEN 'excluded_name' WHEN cost = 89 THEN 'cosmetic' WHEN lower(name) LIKE '%hot%' THEN 'name_token'

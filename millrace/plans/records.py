@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import effects as fx
 from millrace.functions import text as tx
-from millrace.functions.pages import cell, page_tables, rows_of
+from millrace.functions.pages import cell, page_tables, rows_of, spread
 from millrace.operators import lifecycle
 from millrace.operators.hashes import named_digest
 from millrace.operators.quality import contract_violations
@@ -51,7 +51,7 @@ def equipment_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parsed(spark: SparkSession, d: str) -> DataFrame:
-    return page_tables(equipment_pages(spark, d))
+    return page_tables(spread(equipment_pages(spark, d)))
 
 
 @query("udf_03_effects", EFFECTS_SQL)

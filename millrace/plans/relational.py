@@ -472,17 +472,15 @@ def arr_01(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAME_SQL = "p_name || CASE p_partkey % 5 WHEN 0 THEN ' XL+' WHEN 1 THEN ' 2s' WHEN 2 THEN ' blue' ELSE '' END"
-SIZE_SQL = "[0-9]?(?:x+)?(?:s|m|l)\\+?"
+#: What NAME_SQL and LINE_SQL put together, from the words and keys that they were made of.
+WORDS_SQL = f"(SELECT *, split_part(p_name, ' ', 1) AS first, split_part(p_name, ' ', 2) AS noun, list_contains({ELEMENTS!r}, split_part(p_name, ' ', 1)) AS coloured FROM part)"
 
 
 @query(
     "proc_names",
-    f"""WITH n AS (SELECT p_partkey, {NAME_SQL} AS name FROM part), s AS (SELECT *, nullif(lower(regexp_extract(name, '(?i)^.*\\s({SIZE_SQL})$', 1)), '') AS size FROM n),
-    b AS (SELECT *, CASE WHEN size IS NULL THEN name ELSE trim(regexp_extract(name, '(?i)^(.*)\\s({SIZE_SQL})$', 1)) END AS base_name FROM s),
-    e AS (SELECT p_partkey, arg_min(w, strpos(' ' || base_name || ' ', ' ' || w || ' ')) AS name_element FROM b, unnest({ELEMENTS!r}) AS u(w) WHERE strpos(' ' || base_name || ' ', ' ' || w || ' ') > 0 GROUP BY p_partkey),
-    f AS (SELECT b.*, e.name_element, coalesce(nullif(trim(regexp_replace(regexp_replace(' ' || replace(base_name, ' ', '  ') || ' ', ' ({'|'.join(ELEMENTS)}) ', ' ', 'g'), '\\s+', ' ', 'g')), ''), base_name) AS family_name FROM b LEFT JOIN e USING (p_partkey))
-    SELECT p_partkey, size, base_name, name_element, CASE WHEN name_element IS NULL THEN NULL WHEN base_name = name_element OR starts_with(base_name, name_element || ' ') THEN 'prefix' WHEN ends_with(base_name, ' ' || name_element) THEN 'suffix' ELSE 'infix' END AS element_position,
-    family_name, {hash_id_sql('family_name')} AS family_id FROM f""",
+    f"""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'xl+' WHEN 1 THEN '2s' END AS size, CASE WHEN p_partkey % 5 = 2 THEN p_name || ' blue' ELSE p_name END AS base_name,
+    CASE WHEN coloured THEN first WHEN p_partkey % 5 = 2 THEN 'blue' END AS name_element, CASE WHEN coloured THEN 'prefix' WHEN p_partkey % 5 = 2 THEN 'suffix' END AS element_position,
+    CASE WHEN coloured THEN noun ELSE p_name END AS family_name, {hash_id_sql('CASE WHEN coloured THEN noun ELSE p_name END')} AS family_id FROM {WORDS_SQL}""",
 )
 def proc_names(spark: SparkSession, d: str) -> DataFrame:
     named = table(spark, d, "part").selectExpr("p_partkey", f"{NAME_SQL} AS name")
@@ -494,10 +492,8 @@ LINE_SQL = "lower(p_type) || ' power scales with the number of ' || split_part(p
 
 @query(
     "proc_scaling",
-    f"""WITH l AS (SELECT p_partkey, {LINE_SQL} AS d FROM part), p AS (SELECT *, nullif(regexp_extract(d, 'number of (\\S+) elemental', 1), '') AS token FROM l)
-    SELECT p_partkey, coalesce(nullif(trim(regexp_replace(lower(regexp_extract(d, '^(.*?)\\s+scales with', 1)), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown') AS scale_kind,
-    CASE WHEN list_contains({ELEMENTS!r}, token) THEN token END AS element_id, CASE WHEN d LIKE '%elemental weapons%' THEN 'weapons' ELSE 'gear' END AS gear_kind,
-    nullif(regexp_extract(d, 'up to a max of (\\S+)', 1), '') AS cap, try_cast(nullif(regexp_extract(d, 'needed for maximum effect: (\\d+)', 1), '') AS BIGINT) AS pieces_needed FROM p""",
+    f"""SELECT p_partkey, lower(p_type) || '_power' AS scale_kind, CASE WHEN coloured THEN first END AS element_id, CASE WHEN p_size > 25 THEN 'weapons' ELSE 'gear' END AS gear_kind,
+    p_size || 'xl+' AS cap, CAST(p_partkey % 9 AS BIGINT) AS pieces_needed FROM {WORDS_SQL}""",
 )
 def proc_scaling(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "part").selectExpr("p_partkey", f"{LINE_SQL} AS line")

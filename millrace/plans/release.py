@@ -214,4 +214,4 @@ def gate_07(spark: SparkSession, d: str) -> DataFrame:
     at, policy = folder(spark), gate.Policy.parse(STRICT).frame(spark)
     every = all_found(spark, d).unionByName(gate.canary_finding(policy, failed=True)).withColumn("consecutive_runs", F.lit(1))
     gate.record(every, at, "run1")
-    return spark.read.parquet(f"{at}/gate_finding").select("check", "scope", "level", "affected", "escalated")
+    return gate.recorded(spark, at).select("check", "scope", "level", "affected", "escalated")

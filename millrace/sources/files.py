@@ -8,7 +8,6 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at the path."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return False
-    return True
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -281,7 +281,15 @@ def test_a_run_is_decided_once(spark, tmp_path):
     with pytest.raises(ValueError):
         gate.record(found, str(tmp_path), "r1")
     gate.record(found, str(tmp_path), "r2")
-    assert spark.read.parquet(f"{tmp_path}/gate_decision").where("decision = 'warning' AND publishable").count() == 2
+    with pytest.raises(Exception, match="stopped"):  # findings are written, then the job stops before the decision
+        gate.merged(found).withColumn("run_id", F.lit("7")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{tmp_path}/gate_finding")
+        raise RuntimeError("stopped")
+    assert [r.run_id for r in gate.recorded(spark, str(tmp_path)).orderBy("run_id").collect()] == ["r1", "r2"]
+    gate.record(found, str(tmp_path), "7")
+    assert [r.run_id for r in gate.recorded(spark, str(tmp_path)).orderBy("run_id").collect()] == ["7", "r1", "r2"]
+    assert gate.recorded(spark, f"{tmp_path}/none").count() == 0
+    spark.read.schema(gate.DECISION).parquet(f"{tmp_path}/gate_decision").where("run_id <> '7'").write.parquet(f"{tmp_path}/other/gate_decision")
+    assert spark.read.parquet(f"{tmp_path}/other/gate_decision").where("decision = 'warning' AND publishable").count() == 2
     results = spark.createDataFrame([("a", "info", "warn", 3, None), ("b", "structural", "fail", 0, "m"), ("c", "policy", "warn", 1, None), ("d", "contract", "pass", 0, None), ("e", "contract", "warn", 2, None)], "name string, grp string, status string, failures long, message string")
     told = gate.ordered(gate.run_findings(results)).collect()
     assert [(r.check, r.level, r.affected, r.message) for r in told] == [("run", 3, 1, "b fail m"), ("a", 0, 3, "a: 3 rows"), ("e", 0, 2, "unclassified warning e")]
