@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from millrace.plans import checks, contracts, digests, history, loading, packages, pages, records, relational, release, releases, sourcing, versions, warehouse  # noqa: F401
+    from millrace.plans import checks, contracts, digests, history, lineage, loading, packages, pages, records, relational, release, releases, sourcing, versions, warehouse  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -11,7 +11,7 @@ from millrace.functions.pages import lineage_links, page_records
 from millrace.operators.hashes import table_digest
 from millrace.plans.catalog import table
 from millrace.plans.registry import query
-from millrace.sources import files, sqlite
+from millrace.sources import archives, files, sqlite
 from millrace.streaming import changes as streams
 
 
@@ -123,3 +123,19 @@ def stream_02(spark: SparkSession, d: str) -> DataFrame:
     run.awaitTermination()
     newest = max(b["batchId"] for b in run.recentProgress)
     return spark.read.parquet(f"{at}/batch={newest}").select("entity_type", "entity_key", "last_operation", "last_revision")
+
+
+EXPORT_ROWS = 500
+EXPORT_SQL = """SELECT member, CAST(count(*) AS BIGINT) AS "rows", sha256(string_agg(line || chr(10), '' ORDER BY doc_id, line)) AS sha256 FROM (SELECT *, (row_number() OVER (ORDER BY doc_id, line) - 1) // 500 AS member FROM (
+ SELECT doc_id, '{"doc_id":' || doc_id || ',"lang":' || coalesce('"' || lang || '"', 'null') || ',"n_chars":' || coalesce(CAST(n_chars AS VARCHAR), 'null') || '}' AS line FROM documents)) GROUP BY member"""
+
+
+@query("snk_04_compressed_export", EXPORT_SQL)
+def snk_04_compressed(spark: SparkSession, d: str) -> DataFrame:
+    """Members of a compressed export, told from the file as it was written: each begins where the export says."""
+    at = f"{folder(spark)}/documents.json.gz"
+    told = archives.export(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), ["doc_id"], at, rows=EXPORT_ROWS)
+    # Hadoop's codec reads the members as one file
+    lines = spark.read.text(at).withColumn("n", F.monotonically_increasing_id())
+    held = lines.groupBy(F.floor(F.col("n") / EXPORT_ROWS).alias("member")).agg(F.sha2(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "value"))), lambda x: x["value"]), "\n"), F.lit("\n")), 256).alias("sha256"))
+    return told.join(held, ["member", "sha256"]).select("member", "rows", "sha256")
