@@ -6,7 +6,8 @@ ends do, so each length looks only at what the last one left. The marked words'
 coverage that the rules judge.
 
 Defined cases: a null or empty text has no words, all counts are 0, and it fails the base rule; equal lines count from
-the second on, and only lines with a word; hashes of 64 bits are salted by the text, so that texts don't mix.
+the second on, and only lines with a word; hashes of 64 bits are salted by the text, so that texts don't mix;
+bytes that aren't UTF-8 are read as U+FFFD.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from millrace.llm.common import passes, utf8
+from millrace.llm.common import passes, utf8, valid
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -65,7 +66,8 @@ def windows(numbers: np.ndarray, text: np.ndarray, lengths: tuple[int, ...]) ->
     left = np.arange(words)
     for n in lengths:
         while reach < n:  # rolling[i] covers the words i .. i + reach - 1
-            rolling[: words - reach] = rolling[: words - reach] * np.uint64(0xD6E8FEB86659FD93) + base[reach:]
+            whole = max(0, words - reach)
+            rolling[:whole] = rolling[:whole] * np.uint64(0xD6E8FEB86659FD93) + base[reach:]
             reach += 1
         left = left[left + n <= words]
         left = left[text[left] == text[left + n - 1]]
@@ -134,7 +136,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, at = utf8(batch.column(text))
+            raw, at = utf8(valid(batch.column(text)))
             for a, b in passes(at):
                 m = measure(raw[at[a] : at[b]], at[a : b + 1] - at[a])
                 base_failed, kept = verdict(m)
