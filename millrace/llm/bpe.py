@@ -4,7 +4,8 @@ Texts are cut into pieces by :mod:`millrace.llm.pretokens`; each piece is merged
 occurrences (a bounded cache), and the places where pieces begin are kept, so that a token can be traced to its text.
 
 Defined cases: a null text counts as empty and has no tokens; a piece of any length is merged in n log n steps;
-repeated texts are encoded alike; an id that the vocabulary lacks raises KeyError when decoded.
+repeated texts are encoded alike; an id that the vocabulary lacks raises KeyError when decoded; bytes that aren't
+UTF-8 are read as U+FFFD.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from millrace.llm import pretokens
-from millrace.llm.common import passes, utf8
+from millrace.llm.common import passes, utf8, valid
 
 #: Pieces whose result a worker keeps, and their characters at most; the cache is emptied when it is full.
 CACHE_PIECES, CACHE_CHARS = 200_000, 128
@@ -219,7 +220,7 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         tool = encoder(path)
         number = _decimal(max(tool.vocabulary) + 1)
         for batch in batches:
-            raw, at = utf8(batch.column(text))
+            raw, at = utf8(valid(batch.column(text)))
             counts, ids_hex, text_hex = [], [], []
             for a, b in passes(at):
                 for ids in tool.encode_batch(raw[at[a] : at[b]], at[a : b + 1] - at[a]):

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +92,55 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def valid(column: pa.Array) -> pa.Array:
+    """The column, with U+FFFD for bytes that aren't UTF-8."""
+    try:
+        column.validate(full=True)
+        return column
+    except pa.ArrowInvalid:
+        texts = column.cast(pa.large_binary()).to_pylist()
+        return pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], pa.large_string())
+
+
+def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+    """Arrow's file system for a folder that Hadoop names, and the path in it."""
+    scheme, _, rest = uri.partition(":")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3:{rest}"
+    elif scheme == "dbfs":
+        uri = f"file:///dbfs/{rest.lstrip('/')}"
+    elif scheme == "file":
+        uri = f"file:///{rest.lstrip('/')}"
+    return arrow_fs.FileSystem.from_uri(uri)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str, text: str) -> DataFrame:
+    """(_text, _label) of about ``rows`` labelled rows at most.
+
+    Ids are chosen by a hash, and their number, which bounds what is broadcast, by ``rows``. Rows that repeat id and text
+    are one; where ids repeat with many texts, texts are chosen by a hash of both in turn. An id with several labels has
+    their majority, and 1 on a tie; null labels and ids don't count.
+    """
+    span = 1 << 31
+
+    def share(of: int) -> int:
+        return int(min(1.0, rows / max(of, 1)) * span)
+
+    usable = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    chosen = (
+        usable.where(F.pmod(F.xxhash64("_key"), F.lit(span)) < F.lit(share(usable.select("_key").distinct().count())))
+        .groupBy("_key").agg((F.avg("_label") >= 0.5).cast("double").alias("_label"))
+    )
+    found = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
+        "_label", F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64("_key", F.coalesce(F.col(text), F.lit(""))).alias("_h")
+    )
+    many = found.agg(F.approx_count_distinct("_h")).first()[0]
+    thinned = found.where(F.pmod("_h", F.lit(span)) < F.lit(share(many))) if many > 1.2 * rows else found
+    once = thinned.groupBy("_h").agg(F.first("_label").alias("_label"), F.first("_text").alias("_text"))
+    # bytes that aren't UTF-8 are replaced here, as a UDF can't read them
+    return checkpoint(once.select("_label", F.make_valid_utf8("_text").alias("_text")))
+
+
 def decoded(column: pa.Array) -> list[str]:
     """Texts of an Arrow string column; null is empty, and bytes that aren't UTF-8 are read as U+FFFD."""
     return [(t or b"").decode("utf-8", "replace") for t in column.cast(pa.large_binary()).to_pylist()]

@@ -6,7 +6,7 @@ the whole text is chosen. A text whose two best languages are closer than ``min_
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and is rejected; an equal size goes to the
 language whose name sorts first; with one learned language every text with a letter is of that language; with none all
-are ``und``. Null ids never train. Rows with the same text train once. Other columns pass through untouched.
+are ``und``. Bytes that aren't UTF-8 are read as U+FFFD. Null ids never train. Rows with the same text train once. Other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Languages that are learned at most (those of most texts), training windows a language has on average at most, and
-#: their characters: the bound of the fitted sample.
-LANGUAGES, WINDOWS, WINDOW_CHARS = 256, 210, 300
+from millrace.llm.common import decoded
+
+#: Training windows that a language has on average at most, their characters, and all languages' windows together: the
+#: bound of the fitted sample. With very many languages each has fewer windows, and none is left out.
+WINDOWS, WINDOW_CHARS, ALL_WINDOWS = 210, 300, 1 << 16
 #: Bytes of a language's dictionary, of a block, and zstandard's level.
 DICT_BYTES, BLOCK_BYTES, LEVEL = 64 << 10, 2 << 10, 5
 #: A text is rejected if the second best size is less than this share above the best.
@@ -31,25 +33,29 @@ MIN_MARGIN = 0.004
 LETTER = r"\p{L}"
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", *, windows: int = WINDOWS, window_chars: int = WINDOW_CHARS, dict_bytes: int = DICT_BYTES, languages: int = LANGUAGES) -> dict[str, bytes]:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", *, windows: int = WINDOWS, window_chars: int = WINDOW_CHARS, dict_bytes: int = DICT_BYTES, all_windows: int = ALL_WINDOWS) -> dict[str, bytes]:
     """A dictionary's content for each language, from one window of each of about ``windows`` of its texts.
 
-    The driver holds the windows: languages x windows x window_chars characters. A dictionary that comes out longer than
-    ``dict_bytes`` (longer characters, or more windows than the average) keeps its end.
+    The driver holds the windows, ``all_windows`` x window_chars characters on average at most, and a count for each
+    language; more languages than windows raise ValueError. Texts are chosen by a hash of id and text, and count once however
+    often they repeat. A dictionary that comes out longer than ``dict_bytes`` (longer characters, or more windows than the
+    average) keeps its end.
     """
     usable = train.where(F.col(lang).isNotNull() & F.col(text).rlike(LETTER)).select(
-        F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.xxhash64(F.col(key)).alias("_h")
+        F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.xxhash64(F.col(key), F.col(text)).alias("_h")
     )
-    counts = {r["_lang"]: r["n"] for r in usable.groupBy("_lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang").limit(languages).collect()}
+    counts = {r["_lang"]: r["n"] for r in usable.groupBy("_lang").agg(F.count("*").alias("n")).limit(all_windows + 1).collect()}
+    if len(counts) > all_windows:
+        raise ValueError(f"more than {all_windows} languages")
     if not counts:
         return {}
-    share = F.create_map(*[x for name, n in counts.items() for x in (F.lit(name), F.lit(int(min(1.0, windows / n) * (1 << 31))))])
+    each = min(windows, max(1, all_windows // len(counts)))
+    shares = train.sparkSession.createDataFrame([(name, int(min(1.0, each / n) * (1 << 31))) for name, n in counts.items()], "_lang string, _share long")
     start = (F.lit(1) + F.pmod(F.xxhash64("_h", F.lit("start")), F.greatest(F.length("_text") - window_chars, F.lit(1)))).cast("int")
-    rows = (
-        usable.where(F.pmod("_h", F.lit(1 << 31)) < share[F.col("_lang")])
-        .select("_lang", "_h", F.col("_text").substr(start, F.lit(window_chars)).alias("w"))
-        .collect()
-    )
+    # the text whose hash is the least comes in any case, so that each language has one
+    least = usable.groupBy("_lang").agg(F.min(F.struct("_h", F.col("_text").substr(start, F.lit(window_chars)).alias("w"))).alias("x")).select("_lang", "x.*")
+    drawn = usable.join(F.broadcast(shares), "_lang").where(F.pmod("_h", F.lit(1 << 31)) < F.col("_share")).select("_lang", "_h", F.col("_text").substr(start, F.lit(window_chars)).alias("w"))
+    rows = drawn.unionByName(least).distinct().collect()
     found: dict[str, dict[str, None]] = {name: {} for name in sorted(counts)}
     for r in sorted(rows, key=lambda r: (r["_lang"], r["_h"], r["w"])):
         found[r["_lang"]][r["w"].lower()] = None
@@ -99,7 +105,7 @@ def predict(docs: DataFrame, learned: dict[str, bytes], text: str = "text", *, m
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizer = Sizer(learned)
         for batch in batches:
-            got = [sizer.predict(t.as_py(), min_margin) for t in batch.column(text)]
+            got = [sizer.predict(t, min_margin) for t in decoded(batch.column(text))]
             cols = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])
 

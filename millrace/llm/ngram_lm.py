@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import checkpoint, ensure_checkpoint_dir, passes, utf8
+from millrace.llm.common import checkpoint, ensure_checkpoint_dir, file_system, passes, utf8
 from millrace.llm.elias_fano import EliasFano, from_bytes, from_file, pack, to_bytes, unpack
 from millrace.llm.repetition import mix
 
@@ -139,7 +139,7 @@ class Tokens:
 
 def write_file(uri: str, arrays: dict[str, np.ndarray]) -> None:
     """Write under another name first, so that a task that is run again or dies half-way leaves no broken file."""
-    where, path = arrow_fs.FileSystem.from_uri(uri)
+    where, path = file_system(uri)
     draft = f"{path}.{uuid.uuid4().hex}"
     with where.open_output_stream(draft) as f:
         for part in to_bytes(arrays):
@@ -149,7 +149,7 @@ def write_file(uri: str, arrays: dict[str, np.ndarray]) -> None:
 
 @lru_cache(maxsize=OPEN_FILES)
 def read_file(uri: str) -> dict[str, np.ndarray]:
-    where, path = arrow_fs.FileSystem.from_uri(uri)
+    where, path = file_system(uri)
     if isinstance(where, arrow_fs.LocalFileSystem):
         return from_file(path)
     with where.open_input_file(path) as f:
@@ -425,7 +425,7 @@ def build_level(model: Model, level: int, texts: DataFrame, text: str, keep_coun
 def fit(texts: DataFrame, text: str = "text", *, order: int = ORDER, file_tokens: int = FILE_TOKENS, spread_from: int = SPREAD) -> Model:
     """Learn from all rows of texts; the levels are files in the shared folder."""
     folder = f"{ensure_checkpoint_dir(texts.sparkSession).rstrip('/')}/ngram-{uuid.uuid4().hex}"
-    where, path = arrow_fs.FileSystem.from_uri(folder)
+    where, path = file_system(folder)
     where.create_dir(path)
     facts = texts.agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
     model = Model(folder, files=max(1, -(-((facts["bytes"] or 0) // 6 + facts["n"]) // file_tokens)), spread_from=spread_from, texts=facts["n"])

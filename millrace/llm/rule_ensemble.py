@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import checkpoint
+from millrace.llm.common import checkpoint, labelled_sample
 
 #: Labelled rows that the model is fitted on, on average at most.
 SAMPLE_ROWS = 20_000
@@ -107,23 +107,8 @@ def paths(node, names: list[str], bounds: dict[str, tuple[float, float]] | None
         yield from paths(node.rightChild(), names, bounds | {name: (max(above, cut), upto)})
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id") -> DataFrame:
-    """Rows of docs with ``_label``, of about ``rows`` labelled ids at most, chosen by a hash of the id.
-
-    The chosen ids are broadcast: their number is bounded by ``rows``.
-    """
-    usable = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    n = usable.count()
-    span = 1 << 31
-    chosen = (
-        usable.where(F.pmod(F.xxhash64("_key"), F.lit(span)) < F.lit(int(min(1.0, rows / max(n, 1)) * span)))
-        .groupBy("_key").agg((F.avg("_label") >= 0.5).cast("double").alias("_label"))
-    )
-    return docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).drop("_key")
-
-
 def fit(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", key: str = "doc_id", *, rows: int = SAMPLE_ROWS) -> Model:
-    measured, names = statistics(labelled_sample(docs.select(key, text), labels, label, rows, key), text)
+    measured, names = statistics(labelled_sample(docs, labels, label, rows, key, text), "_text")
     sample = checkpoint(measured.select("_label", *names).repartition(4))
     found = sample.agg(F.count("*").alias("n"), F.sum("_label").alias("ones")).first()
     n, ones = found["n"], found["ones"] or 0.0

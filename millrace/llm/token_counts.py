@@ -8,7 +8,7 @@ text comes from the piece that holds the cut, without encoding again.
 
 Defined cases: a null text counts as empty, with no tokens; special tokens inside a text count as one token each, as the
 library's default has it; pieces of any length are counted whole, a byte of them looking back along a trie of reversed
-tokens and no further than the token that fits.
+tokens and no further than the token that fits; bytes that aren't UTF-8 are read as U+FFFD.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from millrace.llm.bpe import Cache, merge, pieces_of, read_json
-from millrace.llm.common import passes, utf8
+from millrace.llm.common import passes, utf8, valid
 from millrace.llm.pretokens import WHITE_SPACE
 
 #: Known verdicts on pairs of tokens that a worker keeps.
@@ -184,7 +184,7 @@ def counts(docs: DataFrame, path: str, limit: int, key: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = counter(path)
         for batch in batches:
-            raw, at = utf8(batch.column(text))
+            raw, at = utf8(valid(batch.column(text)))
             n = np.array([c for a, b in passes(at) for c in tool.count_batch(raw[at[a] : at[b]], at[a : b + 1] - at[a])], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(np.diff(at)), pa.array(n), pa.array(n > limit)], names=[key, "n_bytes", "n_tokens", "over_limit"])
 

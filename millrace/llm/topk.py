@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import ensure_checkpoint_dir
+from millrace.llm.common import ensure_checkpoint_dir, file_system
 
 #: Queries of a block on average; sampled vectors for the rotation; longest vectors that give the first scores.
 QUERY_BLOCK, SAMPLE_ROWS, SEED_ROWS = 2048, 4096, 2048
@@ -164,7 +164,7 @@ def write_blocks(queries: DataFrame, seeds: tuple[np.ndarray, np.ndarray], axes:
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), pa.array(block.least)], names=["vec_id", "v", "least"])
 
     queries.mapInArrow(run, "vec_id long, v array<long>, least double").write.parquet(folder)
-    where, path = arrow_fs.FileSystem.from_uri(folder)
+    where, path = file_system(folder)
     return sorted(f.path for f in where.get_file_info(arrow_fs.FileSelector(path)) if f.path.endswith(".parquet"))
 
 
@@ -174,7 +174,7 @@ def scan(candidates: DataFrame, folder: str, blocks: list[str], axes: np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         axes, blocks = sent.value
-        where, _ = arrow_fs.FileSystem.from_uri(folder)
+        where, _ = file_system(folder)
         for held in parts(batches, axes):
             for path in blocks:
                 for block in pq.ParquetFile(path, filesystem=where).iter_batches(QUERY_BLOCK):

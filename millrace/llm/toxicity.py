@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import checkpoint, fresh, passes, utf8
+from millrace.llm.common import checkpoint, fresh, labelled_sample, passes, utf8
 
 #: Labelled rows that the model is fitted on, on average at most.
 SAMPLE_ROWS = 20_000
@@ -98,32 +98,6 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(total, -700, 700)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str, text: str) -> DataFrame:
-    """(_text, _label) of about ``rows`` labelled rows at most.
-
-    Ids are chosen by a hash, and their number, which bounds what is broadcast, by ``rows``. Rows that repeat id and text
-    are one; where ids repeat with many texts, texts are chosen by a hash of both in turn.
-    """
-    span = 1 << 31
-
-    def share(of: int) -> int:
-        return int(min(1.0, rows / max(of, 1)) * span)
-
-    usable = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).alias("_label"))
-    chosen = (
-        usable.where(F.pmod(F.xxhash64("_key"), F.lit(span)) < F.lit(share(usable.select("_key").distinct().count())))
-        .groupBy("_key").agg((F.avg("_label") >= 0.5).cast("double").alias("_label"))
-    )
-    found = docs.join(F.broadcast(chosen), F.col(key) == F.col("_key")).select(
-        "_label", F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64("_key", F.coalesce(F.col(text), F.lit(""))).alias("_h")
-    )
-    many = found.agg(F.approx_count_distinct("_h")).first()[0]
-    thinned = found.where(F.pmod("_h", F.lit(span)) < F.lit(share(many))) if many > 1.2 * rows else found
-    once = thinned.groupBy("_h").agg(F.first("_label").alias("_label"), F.first("_text").alias("_text"))
-    # bytes that aren't UTF-8 are replaced here, as a UDF can't read them
-    return checkpoint(once.select("_label", F.make_valid_utf8("_text").alias("_text")))
-
-
 def counted(sample: DataFrame) -> DataFrame:
     """Of each bucket (bucket, ones, zeros): how many texts of either label hold it. A task sums up before it hands on."""
 

@@ -81,6 +81,25 @@ def test_the_query_is_that_of_brute_force_and_right_on_held_out_texts(spark):
     assert sum(r.lang_pred == texts[r.doc_id][1] for r in held) >= 0.9 * len(held) > 0
 
 
-def test_languages_of_most_texts_are_learned(world):
-    assert sorted(language_id.fit(world.where("lang <> 'fr' or doc_id < 20"), languages=2)) == ["de", "en"]
+def test_all_languages_are_learned(world, spark):
+    assert sorted(language_id.fit(world.where("lang <> 'fr' or doc_id < 20"))) == ["de", "en", "fr"]
     assert all(len(content) <= 1000 for content in language_id.fit(world, dict_bytes=1000).values())
+    many = spark.range(3000).selectExpr("id AS doc_id", "concat('l', id % 300) AS lang", "concat(repeat(concat('x', id % 300 * 7919, ' '), 12), id) AS text")
+    learned = language_id.fit(many, all_windows=600)
+    assert len(learned) == 300 and all(0 < len(content.split(b"\n")) < 12 for content in learned.values())
+    got = language_id.predict(many.where("doc_id < 300"), learned).collect()
+    assert sum(r.lang_pred == r.lang for r in got) > 250
+    with pytest.raises(ValueError, match="more than 299"):
+        language_id.fit(many, all_windows=299)
+
+
+def test_an_id_on_many_rows_gives_no_more_windows(spark):
+    one = spark.range(4000).selectExpr("7L AS doc_id", "'en' AS lang", "concat('text number ', id % 2000) AS text")
+    assert len(language_id.fit(one, windows=50)["en"].split(b"\n")) < 100
+    same = spark.range(4000).selectExpr("7L AS doc_id", "'en' AS lang", "'one text' AS text")
+    assert language_id.fit(same) == {"en": b"one text"}
+
+
+def test_bytes_that_are_not_utf8(spark, world):
+    bad = spark.sql("SELECT 1L AS doc_id, cast(x'616263ff20646566' AS string) AS text")
+    assert language_id.predict(bad, language_id.fit(world)).count() == 1

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import queries, rule_ensemble
+from millrace.llm.common import labelled_sample
 
 
 @pytest.fixture(scope="module")
@@ -49,8 +50,9 @@ def test_labels_that_conflict_or_lack(world, spark):
     model = rule_ensemble.fit(docs, one, "quality")
     assert not model.rules and model.intercept > 0
     twice = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (2, 0), (2, 1)], "doc_id long, quality int")
-    sample = rule_ensemble.labelled_sample(docs, twice, "quality", rows=100)
-    assert {r.doc_id: r._label for r in sample.collect()} == {1: 1.0, 2: 0.0}
+    sample = labelled_sample(docs, twice, "quality", 100, "doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert sorted((r._text, r._label) for r in sample.collect()) == sorted([(texts[1], 1.0), (texts[2], 0.0)])
 
 
 def test_odd_texts_and_columns(docs, world):

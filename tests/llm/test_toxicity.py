@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import toxicity
+from millrace.llm import common, toxicity
 
 FIELDS = "doc_id long, text string"
 
@@ -110,6 +110,6 @@ def test_without_labels_or_with_one_kind(spark):
 def test_sample_is_bounded_by_rows_not_by_ids(spark):
     one_id = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     labels = spark.createDataFrame([(7, 1)], "doc_id long, toxic int")
-    assert toxicity.labelled_sample(one_id, labels, "toxic", 200, "doc_id", "text").count() < 400
+    assert common.labelled_sample(one_id, labels, "toxic", 200, "doc_id", "text").count() < 400
     same = spark.range(5000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("x").alias("text"))
-    assert toxicity.labelled_sample(same, labels, "toxic", 200, "doc_id", "text").count() == 1
+    assert common.labelled_sample(same, labels, "toxic", 200, "doc_id", "text").count() == 1
