@@ -155,6 +155,19 @@ def update_decision(have: Column, newest: Column, minimum: Column) -> Column:
     return F.when(have >= newest, "none").when(have < minimum, "snapshot").otherwise(F.concat(have.cast("string"), F.lit("-"), newest.cast("string")))
 
 
+def update_decisions(clients: DataFrame, pointers: DataFrame, windows: DataFrame, keys: list[str]) -> DataFrame:
+    """clients (keys, have, ...) with ``decision``: none if they have what the catalogue's pointer names, the update's name
+    if the window offers one from what they have, else the snapshot's; ``unknown`` without a pointer.
+
+    pointers: keys, newest (one row for each catalogue). windows: keys, revision, as :func:`supported_revisions` gives them.
+    """
+    offered = windows.select(*keys, F.col("revision").alias("have"), F.lit(True).alias("_offered"))
+    met = clients.join(pointers.select(*keys, F.col("newest").alias("_newest")), keys, "left").join(offered, [*keys, "have"], "left")
+    name = F.concat_ws("-", F.col("have").cast("string"), F.col("_newest").cast("string"))
+    decision = F.when(F.col("_newest").isNull(), "unknown").when(F.col("have") >= F.col("_newest"), "none").when(F.col("_offered"), name).otherwise(F.concat(F.lit("snapshot-"), F.col("_newest").cast("string")))
+    return met.select(*clients.columns, decision.alias("decision"))
+
+
 def broken_invariants(operations: DataFrame, since: Column, upto: Column) -> DataFrame:
     """invariant, entity, key of operations that no package may hold: twice the same, a revision outside (since, upto], an
     alias to itself, an alias that comes before its retirement (by position), a kind that is none.

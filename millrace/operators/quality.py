@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Columns that every gate check returns.
@@ -121,3 +121,16 @@ def contract_violations(df: DataFrame, contract: dict[str, dict]) -> DataFrame:
 def exactly_shipped(found: list[str], shipped: list[str]) -> list[tuple[str, str]]:
     """Tables that a published folder lacks or has beyond the shipped ones, in order; names alone, so a driver's list."""
     return [(t, "missing") for t in sorted(set(shipped) - set(found))] + [(t, "unexpected") for t in sorted(set(found) - set(shipped))]
+
+
+def catalog_of(spark: SparkSession, database: str) -> dict[str, list[str]]:
+    """The tables of a database with their columns, as the catalogue lists them."""
+    return {t.name: [c.name for c in spark.catalog.listColumns(f"{database}.{t.name}")] for t in spark.catalog.listTables(database) if not t.isTemporary}
+
+
+def shipped_faults(found: dict[str, list[str]], shipped: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """(table, fault) of what a catalogue lacks or has beyond the shipped tables and their columns, in order."""
+    out = exactly_shipped([*found], [*shipped])
+    for name in sorted(set(found) & set(shipped)):
+        out += [(name, f"{fault} column {c}") for c, fault in exactly_shipped(found[name], shipped[name])]
+    return out

@@ -44,12 +44,18 @@ def containment_join(df: DataFrame, text: str, words: DataFrame, word: str) -> D
     return df.join(F.broadcast(words), _place(text, word) > 0).withColumn("place", _place(text, word))
 
 
-def containment_by_token(df: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
+#: Parts that the texts of a token are split into, so that a token which all texts hold is no single task's.
+SALTS = 8
+
+
+def containment_by_token(df: DataFrame, text: str, words: DataFrame, word: str, *, salts: int = SALTS) -> DataFrame:
     """As containment_join for any number of words (of one or more tokens): a text goes out under each of its different
-    tokens, a word under its first one, and what meets is compared."""
-    sent = df.withColumn("_token", F.explode(F.array_distinct(F.split(text, " "))))
-    keyed = words.withColumn("_first", F.split_part(word, F.lit(" "), F.lit(1)))
-    return sent.join(keyed, F.col("_token") == F.col("_first")).drop("_token", "_first").withColumn("place", _place(text, word)).where("place > 0")
+    tokens, a word under its first one, and what meets is compared. Each text of a token goes to one of ``salts`` parts, by
+    a hash of the text, and each word to all of them."""
+    sent = df.withColumn("_token", F.explode(F.array_distinct(F.split(text, " ")))).withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]), F.lit(salts)))
+    keyed = words.withColumn("_first", F.split_part(word, F.lit(" "), F.lit(1))).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = sent.join(keyed, (F.col("_token") == F.col("_first")) & (F.col("_salt") == F.col("_part")))
+    return met.drop("_token", "_first", "_salt", "_part").withColumn("place", _place(text, word)).where("place > 0")
 
 
 def null_aware_anti(left: DataFrame, key: str, right: DataFrame, other: str) -> DataFrame:

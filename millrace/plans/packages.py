@@ -193,6 +193,26 @@ def cdc_26(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", packages.update_decision(F.col("o_orderkey") % 50, F.lit(40), F.lit(12)).alias("decision"))
 
 
+#: Readers of a catalogue for each language, and its revisions: some don't qualify.
+READERS_SQL = "SELECT doc_id, lang, CAST(doc_id % 14 AS BIGINT) AS have FROM documents"
+REVISIONS_SQL = "SELECT DISTINCT lang, CAST(doc_id % 14 AS BIGINT) AS revision, NOT (lang = 'fr' AND doc_id % 14 = 5 OR lang = 'de' AND doc_id % 14 = 11) AS qualifies FROM documents WHERE lang <> 'es' AND doc_id % 14 < CASE lang WHEN 'en' THEN 12 ELSE 13 END"
+
+
+@query(
+    "cdc_26_update_decisions",
+    f"""WITH c AS ({READERS_SQL}), r AS ({REVISIONS_SQL}), p AS (SELECT lang, max(revision) AS newest FROM r GROUP BY lang),
+    w AS (SELECT r.lang, r.revision FROM r JOIN p USING (lang) WHERE r.revision >= 1 AND newest - r.revision BETWEEN 1 AND 8 AND NOT EXISTS (SELECT 1 FROM generate_series(r.revision, newest - 1) AS g(k) WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.lang = r.lang AND q.revision = k AND q.qualifies)))
+    SELECT c.*, CASE WHEN newest IS NULL THEN 'unknown' WHEN have >= newest THEN 'none' WHEN w.revision IS NOT NULL THEN have || '-' || newest ELSE 'snapshot-' || newest END AS decision FROM c LEFT JOIN p USING (lang) LEFT JOIN w ON w.lang = c.lang AND w.revision = c.have""",
+)
+def cdc_26_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """What each reader is offered, from the catalogues' pointers and windows."""
+    table(spark, d, "documents").createOrReplaceTempView("documents_in")
+    readers, revisions = (spark.sql(q.replace("FROM documents", "FROM documents_in")) for q in (READERS_SQL, REVISIONS_SQL))
+    pointers = revisions.groupBy("lang").agg(F.max("revision").alias("newest"))
+    windows = packages.supported_revisions(revisions.join(pointers, "lang"), ["lang"], F.col("newest"), 8)
+    return packages.update_decisions(readers, pointers, windows, ["lang"])
+
+
 #: A log with all that is forbidden: repeated operations, revisions outside, aliases to themselves and before retirements.
 FAULTY_SQL = "(SELECT CASE WHEN event_id % 2 = 0 THEN 'order' ELSE 'customer' END AS entity, user_id AS key, CASE event_type WHEN 'click' THEN 'ALIAS' WHEN 'purchase' THEN 'RETIRE' WHEN 'error' THEN 'DROP' ELSE 'UPSERT' END AS operation, event_id % 100 AS rev, CASE WHEN event_id % 3 = 0 THEN user_id ELSE user_id + 1 END AS target, event_id AS position FROM events)"
 

@@ -215,3 +215,23 @@ def gate_07(spark: SparkSession, d: str) -> DataFrame:
     every = all_found(spark, d).unionByName(gate.canary_finding(policy, failed=True)).withColumn("consecutive_runs", F.lit(1))
     gate.record(every, at, "run1")
     return gate.recorded(spark, at).select("check", "scope", "level", "affected", "escalated")
+
+
+SHIPPED = {"document": ["doc_id", "lang"], "page": ["page_id", "url"], "vector": ["vec_id"]}
+
+
+@query(
+    "dq_s12_shipped",
+    """SELECT 'document' AS table_name, 'unexpected column n_chars' AS fault, count(*) AS n FROM documents UNION ALL SELECT 'page', 'missing column url', count(*) FROM pages UNION ALL SELECT 'label', 'unexpected', count(*) FROM labels UNION ALL SELECT 'vector', 'missing', NULL""",
+)
+def dq_s12(spark: SparkSession, d: str) -> DataFrame:
+    """What a published database has beyond or short of the shipped tables, with the rows of what is there."""
+    at = folder(spark)
+    name = at.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{at}'")
+    for t, source, columns in (("document", "documents", ["doc_id", "lang", "n_chars"]), ("page", "pages", ["page_id"]), ("label", "labels", ["doc_id"])):
+        table(spark, d, source).select(*columns).write.saveAsTable(f"{name}.{t}")
+    found = quality.catalog_of(spark, name)
+    faults = spark.createDataFrame(quality.shipped_faults(found, SHIPPED), "table_name string, fault string")
+    counts = reduce(DataFrame.unionByName, [spark.table(f"{name}.{t}").agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t in found])
+    return faults.join(counts, "table_name", "left")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,3 +303,35 @@ def test_containment_by_token(spark):
     words = spark.createDataFrame([("a",), ("b c",), ("zz",)], "word string")
     want = sorted(map(tuple, selection.containment_join(df, "text", words, "word").collect()))
     assert sorted(map(tuple, selection.containment_by_token(df, "text", words, "word").collect())) == want and want
+
+
+def test_findings_are_ordered(spark):
+    rows = [("b", "catalog", 1, False, "x", "m"), ("a", "reference", 1, True, "x", "m"), ("a", "catalog", 1, True, "y", "m"), ("a", "catalog", 1, True, "x", "n"), ("a", "catalog", 1, False, "z", "m"), ("z", "all", 3, False, "", "m"), ("a", "catalog", 0, False, "", "m"), ("a", "catalog", 1, True, "x", "m")]
+    frame = spark.createDataFrame(rows, "check string, scope string, level int, escalated boolean, sources string, message string").repartition(4)
+    assert [tuple(r) for r in gate.ordered(frame).collect()] == sorted(rows, key=lambda r: (-r[2], *r[:2], *r[3:]))
+
+
+def test_a_published_catalogue_is_compared_with_what_is_shipped():
+    found = {"a": ["x", "y"], "b": ["x"], "d": []}
+    assert quality.shipped_faults(found, {"a": ["x", "z"], "b": ["x"], "c": ["x"]}) == [("c", "missing"), ("d", "unexpected"), ("a", "missing column z"), ("a", "unexpected column y")]
+
+
+def test_replacements_are_those_of_all_pairs(spark):
+    rng = random.Random(6)
+    items = [(f"p{i}", rng.choice("ab"), rng.choice(["x", None])) for i in range(60)]
+    cells = [(u, rng.choice("hm"), rng.choice(["i", None]), rng.randrange(3)) for u, *_ in items if rng.random() < 0.8 for _ in range(rng.randrange(6))] + [("p1", None, "i", 1)]
+    have = {u: {(a, b, c) for v, a, b, c in cells if v == u and a is not None} for u, *_ in items}
+    old, new = items[:30], items[25:]
+    frames = [spark.createDataFrame(x, "uid string, name string, kind string") for x in (old, new)]
+    stats = spark.createDataFrame(cells, "uid string, label string, tier string, value int")
+    for score in (0.34, 0.75, 1.0, 0.0):
+        want = {}
+        for u, n, k in old:
+            for v, m, l in new:
+                if u != v and n == m and k is not None and k == l:
+                    both = have[u] | have[v]
+                    s = len(have[u] & have[v]) / len(both) if both else 1.0
+                    if s >= score:
+                        want[u, v] = round(s, 9)
+        got = lifecycle.replacements(*frames, stats, ["name", "kind"], score).collect()
+        assert {(r.old_uid, r.new_uid): round(r.score, 9) for r in got} == want and len(got) == len(want)
