@@ -42,6 +42,8 @@ def test_each_query_returns_a_row_for_each_of_its_rows(spark, name):
     n = got.count()
     if name in ("op6_topk",):
         assert n == 5 * spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 50 = 0").count()
+    elif name == "op12_lexical":
+        assert n == 10 * spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id").distinct().count()
     elif name == "op10_packing":
         assert got.select("doc_id").distinct().count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     else:
@@ -54,7 +56,7 @@ def test_sql_agrees(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.queries()[name](spark, SF)
     want = con.execute(queries.oracle_sql()[name])
