@@ -75,8 +75,9 @@ def int_ship_equipment(b: Build) -> DataFrame:
 
 @model()
 def int_icon(b: Build) -> DataFrame:
-    a = b["stg_asset"].where("kind = 'equipment'").select("sha256", F.col("body_bytes").alias("bytes"))
-    return b["int_ship_equipment"].join(a, F.col("icon_sha") == F.col("sha256")).select("sha256", F.lit("equipment").alias("kind"), "bytes").distinct()
+    # many items share an icon: each is taken once from both sides, so that no hash's items meet all its assets
+    a = b["stg_asset"].where("kind = 'equipment'").select("sha256", F.lit("equipment").alias("kind"), F.col("body_bytes").alias("bytes")).distinct()
+    return a.join(b["int_ship_equipment"].select(F.col("icon_sha").alias("sha256")).distinct(), "sha256", "left_semi")
 
 
 def newest_name(refs: DataFrame, order: list) -> DataFrame:
