@@ -35,9 +35,10 @@ def hsh_05_changed_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "hsh_05_tree",
-    f"""WITH l0 AS (SELECT 0 AS level, l_orderkey // 64 AS node, count(*) AS n FROM lineitem GROUP BY ALL), l1 AS (SELECT 1 AS level, node // 16 AS node, sum(n) AS n FROM l0 WHERE (SELECT count(*) FROM l0) > 16 GROUP BY 2),
-    l2 AS (SELECT 2 AS level, node // 16 AS node, sum(n) AS n FROM l1 WHERE (SELECT count(*) FROM l1) > 16 GROUP BY 2), l3 AS (SELECT 3 AS level, node // 16 AS node, sum(n) AS n FROM l2 WHERE (SELECT count(*) FROM l2) > 16 GROUP BY 2)
-    SELECT level, node, CAST(n AS BIGINT) AS "rows" FROM (SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3)""",
+    # a level is there if the one below it has more than 16 nodes; 16 levels hold all keys of 64 bits
+    """WITH l0 AS (SELECT l_orderkey // 64 AS leaf, count(*) AS n FROM lineitem GROUP BY ALL),
+    every AS (SELECT CAST(l AS INTEGER) AS level, leaf // (CAST(1 AS BIGINT) << CAST(4 * l AS BIGINT)) AS node, sum(n) AS n FROM l0, range(16) r(l) GROUP BY ALL), sizes AS (SELECT level, count(*) AS nodes FROM every GROUP BY level)
+    SELECT level, node, CAST(n AS BIGINT) AS "rows" FROM every WHERE level = 0 OR level IN (SELECT level + 1 FROM sizes WHERE nodes > 16)""",
 )
 def hsh_05_tree(spark: SparkSession, d: str) -> DataFrame:
     """The nodes of a tree and the rows below them."""
