@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import first_token, json_text, row_text
+from millrace.operators.graph import checkpoint
 
 
 @dataclass(frozen=True)
@@ -71,34 +72,44 @@ def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attribut
     The score is the share of different (label, tier, value) cells of the two that both have; 1 without any. stats: uid,
     label, tier, value; one without a label doesn't count.
 
-    Two items reach the score only if they share one of their rarest cells: of n cells all but so many that the score can't
+    Items with equal attributes and equal cells are one class, and classes are what is compared: copies of an item cost one
+    comparison, and their pairs are only made as they are put out, from the pairs of classes and the classes' members.
+
+    Two classes reach the score only if they share one of their rarest cells: of n cells all but so many that the score can't
     be made up by the others. So pairs are made by an equality join on attributes and rare cells, and where neither has
-    any cell; with a score of 0 or less to reach, all items with equal attributes are pairs, as all are results.
+    any cell; with a score of 0 or less to reach, all classes with equal attributes are pairs, as all are results.
     """
     both = retired.select("uid", *attributes, F.lit(True).alias("old")).unionByName(live.select("uid", *attributes, F.lit(False).alias("old")))
-    own = stats.where(F.col("label").isNotNull()).select("uid", row_text(["label", "tier", "value"]).alias("cell")).distinct()
-    cells = own.join(both.select("uid").distinct(), "uid", "left_semi")
-    sized = both.join(cells.groupBy("uid").agg(F.count("*").alias("n")), "uid", "left").fillna(0, ["n"])
-    o, n = ([c for c in (F.col("uid").alias(f"{side}_uid"), F.col("n").alias(f"{side}_n"))] for side in ("old", "new"))
-    olds, news = sized.where("old").select(*o, *attributes), sized.where("NOT old").select(*n, *attributes)
+    cell = row_text(["label", "tier", "value"])
+    # the cells of one item lie in one row, as its stats are few
+    held = stats.where(F.col("label").isNotNull()).groupBy("uid").agg(F.sort_array(F.collect_set(cell)).alias("cells"))
+    told = both.join(held, "uid", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
+    items = checkpoint(told.withColumn("class", F.sha2(F.to_json(F.struct(*attributes, "cells")), 256)))
+    classes = checkpoint(
+        items.groupBy("class").agg(*[F.first(c).alias(c) for c in (*attributes, "cells")], F.bool_or("old").alias("old"), F.bool_or(~F.col("old")).alias("new"))
+        .withColumn("n", F.size("cells").cast("long"))
+    )
+    cells = classes.select("class", "n", F.explode("cells").alias("cell"))
+    olds, news = (classes.where(side).select(F.col("class").alias(f"{side}_class"), F.col("n").alias(f"{side}_n"), *attributes) for side in ("old", "new"))
     if min_score <= 0:
         pairs = olds.join(news, attributes)
     else:
         frequency = cells.groupBy("cell").agg(F.count("*").alias("held"))
-        rank = F.row_number().over(Window.partitionBy("uid").orderBy("held", "cell"))
-        ranked = cells.join(frequency, "cell").withColumn("nth", rank).join(sized.select("uid", "n").distinct(), "uid")
-        rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(min_score) - F.lit(1e-9)) + 1).select("uid", "cell")
+        rank = F.row_number().over(Window.partitionBy("class").orderBy("held", "cell"))
+        ranked = cells.join(frequency, "cell").withColumn("nth", rank)
+        rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(min_score) - F.lit(1e-9)) + 1).select("class", "cell")
         on = [*attributes, "cell"]
-        met = olds.join(rare.withColumnRenamed("uid", "old_uid"), "old_uid").join(news.join(rare.withColumnRenamed("uid", "new_uid"), "new_uid"), on)
+        met = olds.join(rare.withColumnRenamed("class", "old_class"), "old_class").join(news.join(rare.withColumnRenamed("class", "new_class"), "new_class"), on)
         near = met.where((F.col("new_n") >= F.col("old_n") * min_score - 1e-9) & (F.col("old_n") >= F.col("new_n") * min_score - 1e-9)).drop("cell").distinct()
         pairs = near.unionByName(olds.where("old_n = 0").join(news.where("new_n = 0"), attributes))
-    pairs = pairs.where("old_uid <> new_uid")
-    of_old, of_new = (cells.select(F.col("uid").alias(f"{side}_uid"), "cell") for side in ("old", "new"))
-    equal = pairs.select("old_uid", "new_uid").distinct().join(of_old, "old_uid").join(of_new, ["new_uid", "cell"]).groupBy("old_uid", "new_uid").agg(F.count("*").alias("stats_equal"))
-    joined = pairs.join(equal, ["old_uid", "new_uid"], "left").fillna(0, ["stats_equal"]).withColumn("stats_total", F.col("old_n") + F.col("new_n") - F.col("stats_equal"))
+    of_old, of_new = (classes.select(F.col("class").alias(f"{side}_class"), F.col("cells").alias(f"{side}_cells")) for side in ("old", "new"))
+    joined = pairs.join(of_old, "old_class").join(of_new, "new_class").withColumn("stats_equal", F.size(F.array_intersect("old_cells", "new_cells")).cast("long"))
+    joined = joined.withColumn("stats_total", F.col("old_n") + F.col("new_n") - F.col("stats_equal"))
     score = F.when(F.col("stats_total") == 0, 1.0).otherwise(F.col("stats_equal") / F.col("stats_total"))
     evidence = json_text(**{a: F.col(a) for a in attributes}, stats_equal=F.col("stats_equal"), stats_total=F.col("stats_total"))
-    return joined.select("old_uid", "new_uid", score.alias("score"), evidence.alias("evidence")).where(F.col("score") >= min_score)
+    alike = joined.select("old_class", "new_class", score.alias("score"), evidence.alias("evidence")).where(F.col("score") >= min_score)
+    old, new = (items.where(w).select(F.col("class").alias(f"{side}_class"), F.col("uid").alias(f"{side}_uid")).distinct() for side, w in (("old", "old"), ("new", "NOT old")))
+    return alike.join(old, "old_class").join(new, "new_class").where("old_uid <> new_uid").select("old_uid", "new_uid", "score", "evidence")
 
 
 def merge_frontier(known: DataFrame, found: DataFrame) -> DataFrame:
