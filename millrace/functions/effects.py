@@ -63,7 +63,11 @@ def section(parts: Column, name: str) -> Column:
 
 def proc(text: str | Column) -> Column:
     """effects, condition, rate and scaling of a skill cell: lines that say what a proc scales with are kept apart."""
-    parts = sections(text)
+    # the sections are worked out once, not for each field
+    return F.get(F.transform(F.array(sections(text)), _proc_of), F.lit(0))
+
+
+def _proc_of(parts: Column) -> Column:
     scales = lambda x: x.contains(SCALES)
     effects, rates = section(parts, EFFECTS), section(parts, RATE)
     return F.struct(

@@ -17,6 +17,7 @@ Java reads it; the length of a text is in code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -66,13 +67,21 @@ class _Value:
         return F.try_variant_get(self.root, self.path, kind)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _first(faults: list[Column]) -> Column:
     return F.coalesce(*faults, F.lit(None).cast("string"))
 
 
 def _fault(schema: dict, v: _Value, whole: dict, seen: tuple[str, ...]) -> Column:
     schema, seen = _resolved(schema, whole, seen)
-    kind = F.schema_of_variant(v.value)
+    return _once(F.schema_of_variant(v.value), lambda kind: _broken(schema, v, kind, whole, seen))
+
+
+def _broken(schema: dict, v: _Value, kind: Column, whole: dict, seen: tuple[str, ...]) -> Column:
     is_ = lambda name: kind.rlike(KINDS[name])
     whole_number = is_("integer") | (is_("number") & F.coalesce(v.as_("double") == F.floor(v.as_("double")), F.lit(False)))
     of = lambda name: whole_number if name == "integer" else is_(name)
@@ -132,7 +141,7 @@ def _fault(schema: dict, v: _Value, whole: dict, seen: tuple[str, ...]) -> Colum
 def first_fault(text: str | Column, schema: dict) -> Column:
     """The path of the first fault of JSON text and the rule it breaks (``$.a.b[2]: pattern``); null for a good document."""
     document = F.try_parse_json(F.col(text) if isinstance(text, str) else text)
-    return F.when(document.isNull(), "$: json").otherwise(_fault(schema, _Value(document), schema, ()))
+    return _once(document, lambda d: F.when(d.isNull(), "$: json").otherwise(_fault(schema, _Value(d), schema, ())))
 
 
 def violations(df: DataFrame, text: str, schema: dict) -> DataFrame:
