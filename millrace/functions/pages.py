@@ -168,9 +168,11 @@ def page_tables(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInArrow(run, TABLES)
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Pages dealt out by id to as many tasks as their number calls for: parsing is dear, and small tables would be one task."""
-    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-pages.count() // TASK_PAGES))
+def spread(pages: DataFrame, number: int | None = None) -> DataFrame:
+    """Pages dealt out by id to as many tasks as their number calls for: parsing is dear, and small tables would be one task.
+    Pages that are dear to make should come with their number, as they are made once more to be counted."""
+    number = pages.count() if number is None else number
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, -(-number // TASK_PAGES))
     return pages.repartition(tasks, "page_id")
 
 

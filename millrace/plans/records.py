@@ -51,7 +51,8 @@ def equipment_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parsed(spark: SparkSession, d: str) -> DataFrame:
-    return page_tables(spread(equipment_pages(spark, d)))
+    # a page for each part
+    return page_tables(spread(equipment_pages(spark, d), table(spark, d, "part").count()))
 
 
 @query("udf_03_effects", EFFECTS_SQL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.functions import effects as fx
+from millrace.functions.pages import spread
 from millrace.operators import contracts
 from millrace.plans.contracts import EVENT, TURN
 
@@ -21,3 +22,8 @@ def test_a_procs_cell_is_cut_into_lines_once(spark):
     assert found.collect()[0].rate == "5%"
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ability power boosted") <= 4  # of one cutting into lines
+
+
+def test_pages_with_their_number_are_not_made_to_be_counted(spark):
+    pages = spark.range(3).selectExpr("id AS page_id", "raise_error('made') AS html").where("html IS NOT NULL")
+    assert spread(pages, 12_000).columns == ["page_id", "html"]
