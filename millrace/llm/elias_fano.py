@@ -48,6 +48,11 @@ def select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return shift.astype(np.int64) + SELECT[((words >> shift) & np.uint64(255)).astype(np.int64), rank]
 
 
+def lowest(words: np.ndarray) -> np.ndarray:
+    """Place of the lowest one in each word; 64 where there is none."""
+    return np.bitwise_count(~words & (words - np.uint64(1))).astype(np.int64)
+
+
 class EliasFano:
     """A sequence of numbers that don't fall."""
 
@@ -82,17 +87,35 @@ class EliasFano:
 
     def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks [from, to) of the numbers with these high parts (at most the highest)."""
-        begin = np.zeros(len(high), np.int64)
+        at = np.zeros(len(high), np.int64)
         some = np.flatnonzero(high > 0)
-        begin[some] = self._select_zero(high[some] - 1) + 1 - high[some]
-        return begin, self._select_zero(high) - high
+        at[some] = self._select_zero(high[some] - 1) + 1
+        # the numbers are a run of ones that most often ends in the word it begins in
+        end = at + lowest(~self.high[at >> 6] >> (at & 63).astype(np.uint64))
+        beyond = np.flatnonzero((end ^ at) >> 6)
+        end[beyond] = self._select_zero(high[beyond])
+        return at - high, end - high
+
+    def _place(self, at: np.ndarray) -> np.ndarray:
+        """Places of the ones of the ranks ``at`` in the bit vector."""
+        word = np.searchsorted(64 * np.arange(len(self.zeros)) - self.zeros.astype(np.int64), at, "right") - 1
+        return 64 * word + select(self.high[word], at - (64 * word - self.zeros[word].astype(np.int64)))
+
+    def _number(self, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return ((place - at).astype(np.uint64) << np.uint64(self.width)) | unpack(self.low, self.width, at)
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The numbers of the ranks ``at``."""
-        word = np.searchsorted(64 * np.arange(len(self.zeros)) - self.zeros.astype(np.int64), at, "right") - 1
-        rest = at - (64 * word - self.zeros[word].astype(np.int64))
-        high = 64 * word + select(self.high[word], rest) - at
-        return (high.astype(np.uint64) << np.uint64(self.width)) | unpack(self.low, self.width, at)
+        return self._number(at, self._place(at))
+
+    def pair(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the ranks ``at`` and of the ranks after these, which must be there."""
+        place = self._place(at)
+        after = place + 1
+        then = after + lowest(self.high[after >> 6] >> (after & 63).astype(np.uint64))
+        beyond = np.flatnonzero((then ^ after) >> 6)
+        then[beyond] = self._place(at[beyond] + 1)
+        return self._number(at, place), self._number(at + 1, then)
 
     def find(self, values: np.ndarray, since: np.ndarray | None = None, until: np.ndarray | None = None) -> np.ndarray:
         """Rank of each value (the first of equal ones), -1 where it is absent; only ranks [since, until) are searched if given."""
@@ -107,12 +130,16 @@ class EliasFano:
             begin, end = np.maximum(begin, since[ask]), np.minimum(end, until[ask])
         end = np.maximum(begin, end)
         low = values[ask] & np.uint64((1 << self.width) - 1)
-        left, right = begin.copy(), end.copy()
-        while (open_ := np.flatnonzero(left < right)).size:
-            middle = (left[open_] + right[open_]) >> 1
-            less = unpack(self.low, self.width, middle) < low[open_]
-            left[open_[less]] = middle[less] + 1
-            right[open_[~less]] = middle[~less]
+        left, right = begin.copy(), end
+        open_ = np.flatnonzero(left < right)
+        since, until, sought = left[open_], right[open_], low[open_]
+        while open_.size:
+            middle = (since + until) >> 1
+            less = unpack(self.low, self.width, middle) < sought
+            since, until = np.where(less, middle + 1, since), np.where(less, until, middle)
+            left[open_] = since
+            on = np.flatnonzero(since < until)
+            open_, since, until, sought = open_[on], since[on], until[on], sought[on]
         inside = np.flatnonzero(left < end)
         inside = inside[unpack(self.low, self.width, left[inside]) == low[inside]]
         out[ask[inside]] = left[inside]

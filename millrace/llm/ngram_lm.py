@@ -228,8 +228,7 @@ class Model:
             place = EliasFano(arrays, "context").find(asked[fresh])[np.cumsum(fresh) - 1]
             rows, place = rows[place >= 0], place[place >= 0]
             rest[rows] = LEVELS[arrays["rest"][place]]
-            pointers = EliasFano(arrays, "pointer")
-            since, until = pointers.get(place), pointers.get(place + 1)
+            since, until = EliasFano(arrays, "pointer").pair(place)
             asked = place * int(arrays["universe"][0]) + word[rows]
             rank = EliasFano(arrays, "successor").find(asked, since.astype(np.int64), until.astype(np.int64))
             hit = rank >= 0
