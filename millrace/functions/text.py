@@ -16,6 +16,8 @@ FIELD_SEPARATOR, GROUP_SEPARATOR, RECORD_SEPARATOR, UNIT_SEPARATOR = map(chr, (2
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 
+#: Fixed value: text that cleaning leaves as it is, visible ASCII with single blanks between.
+PLAIN = r"^[!-~]++(?: [!-~]++)*+\z"
 ID_SHAPE = r"^(0|[1-9][0-9]*)\z"
 
 
@@ -25,9 +27,11 @@ def column(c: str | Column) -> Column:
 
 def clean_text(c: str | Column, empty_as_null: bool = True) -> Column:
     """Runs of white space to one blank, control and format characters gone, trimmed; nothing left is null or ''."""
-    blanks = F.regexp_replace(column(c).cast("string"), r"[\t\n\f\r \p{Z}]+", " ")
+    text = column(c).cast("string")
+    blanks = F.regexp_replace(text, r"[\t\n\f\r \p{Z}]+", " ")
     out = F.trim(F.regexp_replace(blanks, r"[\p{Cc}\p{Cf}]", ""))
-    return F.nullif(out, F.lit("")) if empty_as_null else out
+    # most text is plain already, which one look tells
+    return F.when(text.rlike(PLAIN), text).otherwise(F.nullif(out, F.lit("")) if empty_as_null else out)
 
 
 def casefold(c: str | Column) -> Column:

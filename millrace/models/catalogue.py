@@ -35,7 +35,7 @@ def int_scope_member(b: Build) -> DataFrame:
 
 @model(stored=True)
 def int_equipment_status(b: Build) -> DataFrame:
-    known = b.prev("entity_current").where("entity_type = 'equipment' AND last_operation <> 'DELETE'").select(F.col("entity_key").alias("uid"), "state", "retired_revision")
+    known = b.known_equipment()
     frontier = b["int_scope_member"].select(F.col("uid").alias("item_id"), "frontier_state", "decided_run_id")
     items = b["stg_equipment"].select(F.col("source_uid").alias("uid"))
     return lifecycle.equipment_status(items, frontier, known, last_complete_run=F.lit(b.run.last_complete_run), revision=b.revision)
@@ -263,6 +263,14 @@ def by_source(b: Build, name: str) -> DataFrame:
     return b[name].select("source_uid", column)
 
 
+@model()
+def int_shipped(b: Build) -> DataFrame:
+    """What mart_equipment has but for the two columns that tell of the change log, under its contract."""
+    types, required = contract("equipment")
+    kept = {c: t for c, t in types.items() if c not in ("last_seen", "last_changed_revision")}
+    return conform(b["int_ship_equipment"], kept, [c for c in required if c in kept])
+
+
 @mart("proc_family")
 def _proc_family(b: Build) -> DataFrame:
     return b["int_proc"].select("family_id", F.col("family_name").alias("name"))

@@ -28,23 +28,26 @@ def chains(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """kind, uid, chain_id, position: for each key the nearest root (no link leads to it), the least one of several.
 
     edges: kind, from_uid, to_uid. Keys that no root reaches (cycles) are left out. A step writes its frontier alone; the
-    frontiers together are what has been reached, and after every COMPACT of them they are written as one. ValueError
-    where a chain is longer than ``max_depth``.
+    frontiers together are what has been reached, and after every COMPACT of them they are written as one. It takes away
+    the links that it walks and those into the keys that it reaches, so that the links left lead to keys not yet reached,
+    and later steps read no more than these. ValueError where a chain is longer than ``max_depth``.
     """
     edges = edges.select("kind", "from_uid", "to_uid").distinct()
     targets = edges.select("kind", F.col("to_uid").alias("uid")).distinct()
     nodes = edges.select("kind", F.col("from_uid").alias("uid")).union(targets).distinct()
     frontier = nodes.join(targets, ["kind", "uid"], "left_anti").select("kind", "uid", F.col("uid").alias("chain_id"), F.lit(0).cast("long").alias("position"))
-    edges = checkpoint(edges.withColumnRenamed("from_uid", "uid"))
-    frontiers = [checkpoint(frontier)]
+    left = edges.withColumnRenamed("from_uid", "uid")
+    frontier = checkpoint(frontier)
+    frontiers = [frontier]
     for _ in range(max_depth):
-        step = frontiers[-1].join(edges, ["kind", "uid"]).groupBy("kind", F.col("to_uid").alias("uid")).agg(F.min("chain_id").alias("chain_id"), (F.min("position") + 1).alias("position"))
-        reached = reduce(DataFrame.unionByName, frontiers)
-        frontier = checkpoint(step.join(reached, ["kind", "uid"], "left_anti"))
+        walked = checkpoint(left.join(frontier, ["kind", "uid"], "left"))
+        step = walked.where("chain_id IS NOT NULL").groupBy("kind", F.col("to_uid").alias("uid")).agg(F.min("chain_id").alias("chain_id"), (F.min("position") + 1).alias("position"))
+        frontier = checkpoint(step)
         if frontier.isEmpty():
-            return reached
+            return reduce(DataFrame.unionByName, frontiers)
+        left = walked.where("chain_id IS NULL").select("kind", "uid", "to_uid").join(frontier.select("kind", F.col("uid").alias("to_uid")), ["kind", "to_uid"], "left_anti")
         if len(frontiers) >= COMPACT:
-            frontiers = [checkpoint(reached)]
+            frontiers = [checkpoint(reduce(DataFrame.unionByName, frontiers))]
         frontiers.append(frontier)
     raise ValueError(f"chains of more than {max_depth} links")
 
