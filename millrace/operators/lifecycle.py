@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import first_token, json_text, row_text
-from millrace.operators.graph import checkpoint
+from millrace.operators.selection import SMALL_ROWS
+from millrace.sources.files import shared_folder
 
 
 @dataclass(frozen=True)
@@ -66,6 +70,23 @@ def new_items(seen: DataFrame, first_seen: str, now: Column, days: int) -> DataF
     return seen.withColumn("is_new_item", F.coalesce(F.col(first_seen) >= now - F.make_dt_interval(F.lit(days)), F.lit(False)))
 
 
+#: Members of a class that lie in one row at most, on average; rows of each side that meet in one group of the join.
+MEMBERS, TILE = 512, 2048
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame in the shared folder, read again: as checkpoint, but in columns, which takes a fraction of its disk."""
+    at = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def facts(df: DataFrame) -> DataFrame:
+    """A table of groups, written; broadcast where it has SMALL_ROWS at most, so that what it is joined with stays where it is."""
+    made = written(df)
+    return F.broadcast(made) if made.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else made
+
+
 def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attributes: list[str], min_score: float) -> DataFrame:
     """old_uid, new_uid, score, evidence: live items that equal a retired one in the attributes and in enough of its stats.
 
@@ -73,43 +94,72 @@ def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attribut
     label, tier, value; one without a label doesn't count.
 
     Items with equal attributes and equal cells are one class, and classes are what is compared: copies of an item cost one
-    comparison, and their pairs are only made as they are put out, from the pairs of classes and the classes' members.
+    comparison. A class is a row with its members, or several rows where it has many.
 
     Two classes reach the score only if they share one of their rarest cells: of n cells all but so many that the score can't
-    be made up by the others. So pairs are made by an equality join on attributes and rare cells, and where neither has
-    any cell; with a score of 0 or less to reach, all classes with equal attributes are pairs, as all are results.
+    be made up by the others. Classes with equal attributes meet by these cells, each pair at the first one that they share,
+    or all with all where that makes fewer meetings (cells that most of them have tell little). Without cells they meet each
+    other; with a score of 0 or less to reach, all classes with equal attributes are pairs, as all are results.
+
+    Pairs are made by the last join and put out by the task that makes them: what is sent and stored grows with the items.
+    Groups of more than TILE rows a side meet in parts, so that none is a single task's.
     """
     both = retired.select("uid", *attributes, F.lit(True).alias("old")).unionByName(live.select("uid", *attributes, F.lit(False).alias("old")))
-    cell = row_text(["label", "tier", "value"])
-    # the cells of one item lie in one row, as its stats are few
-    held = stats.where(F.col("label").isNotNull()).groupBy("uid").agg(F.sort_array(F.collect_set(cell)).alias("cells"))
-    told = both.join(held, "uid", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
-    items = checkpoint(told.withColumn("class", F.sha2(F.to_json(F.struct(*attributes, "cells")), 256)))
-    classes = checkpoint(
-        items.groupBy("class").agg(*[F.first(c).alias(c) for c in (*attributes, "cells")], F.bool_or("old").alias("old"), F.bool_or(~F.col("old")).alias("new"))
-        .withColumn("n", F.size("cells").cast("long"))
-    )
-    cells = classes.select("class", "n", F.explode("cells").alias("cell"))
-    olds, news = (classes.where(side).select(F.col("class").alias(f"{side}_class"), F.col("n").alias(f"{side}_n"), *attributes) for side in ("old", "new"))
+    told = stats.where(F.col("label").isNotNull()).select("uid", row_text(["label", "tier", "value"]).alias("cell"))
+    frequency = facts(told.groupBy("cell").agg(F.count("*").alias("held")))
+    # the cells of one item lie in one row, as its stats are few; rare ones come first
+    held = told.join(frequency, "cell").groupBy("uid").agg(F.sort_array(F.collect_set(F.struct("held", "cell")))["cell"].alias("cells"))
+    there = reduce(and_, [F.col(c).isNotNull() for c in ("uid", *attributes)])
+    items = both.where(there).join(held, "uid", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
+    kind = [*attributes, "cells", "old"]
+    # two classes with one hash are cut in more rows than they need, and stay two
+    items = items.withColumn("class", F.xxhash64(*kind))
+    many = items.groupBy("class").agg(F.ceil(F.count("*") / MEMBERS).alias("rows")).where("rows > 1")
+    part = F.coalesce(F.pmod(F.xxhash64("uid"), "rows"), F.lit(0))
+    n, rows = F.size("cells").cast("long"), items.join(many, "class", "left").groupBy(*kind, part.alias("part"))
+    classes = written(rows.agg(F.sort_array(F.collect_set("uid")).alias("uids")).withColumn("n", n).drop("part"))
+
+    sides = [F.count_if(F.col("old")).alias("olds"), F.count_if(~F.col("old")).alias("news")]
+    parts = [F.ceil(F.col(c) / TILE).alias(f"{c}_parts") for c in ("olds", "news")]
+    groups = classes.groupBy(*attributes).agg(*sides).where("olds > 0 AND news > 0")
     if min_score <= 0:
-        pairs = olds.join(news, attributes)
+        met = classes.join(facts(groups.select(*attributes, *parts)), attributes).withColumn("meet", F.lit(""))
     else:
-        frequency = cells.groupBy("cell").agg(F.count("*").alias("held"))
-        rank = F.row_number().over(Window.partitionBy("class").orderBy("held", "cell"))
-        ranked = cells.join(frequency, "cell").withColumn("nth", rank)
-        rare = ranked.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * F.lit(min_score) - F.lit(1e-9)) + 1).select("class", "cell")
-        on = [*attributes, "cell"]
-        met = olds.join(rare.withColumnRenamed("class", "old_class"), "old_class").join(news.join(rare.withColumnRenamed("class", "new_class"), "new_class"), on)
-        near = met.where((F.col("new_n") >= F.col("old_n") * min_score - 1e-9) & (F.col("old_n") >= F.col("new_n") * min_score - 1e-9)).drop("cell").distinct()
-        pairs = near.unionByName(olds.where("old_n = 0").join(news.where("new_n = 0"), attributes))
-    of_old, of_new = (classes.select(F.col("class").alias(f"{side}_class"), F.col("cells").alias(f"{side}_cells")) for side in ("old", "new"))
-    joined = pairs.join(of_old, "old_class").join(of_new, "new_class").withColumn("stats_equal", F.size(F.array_intersect("old_cells", "new_cells")).cast("long"))
+        by_cell = classes.withColumn("meet", F.explode(_rarest("cells", "n", min_score))).groupBy(*attributes, "meet").agg(*sides)
+        meetings = F.col("olds").cast("double") * F.col("news")
+        sums = by_cell.groupBy(*attributes).agg(F.sum(meetings).alias("_by_cell"))
+        # both in one pass over small groups: whether they meet apart, by cells, and in how many parts
+        ways = facts(groups.join(sums, attributes).select(*attributes, (F.col("_by_cell") < meetings).alias("apart"), *parts))
+        large = by_cell.where((F.col("olds") > TILE) | (F.col("news") > TILE)).select(*attributes, "meet", *[p.alias(f"_{c}") for p, c in zip(parts, ("olds", "news"), strict=True)])
+        meet = F.explode(F.when(F.col("apart"), _rarest("cells", "n", min_score)).otherwise(F.array(F.lit(""))))
+        met = classes.join(ways, attributes).withColumn("meet", meet).join(facts(large), [*attributes, "meet"], "left")
+        for c in ("olds", "news"):
+            met = met.withColumn(f"{c}_parts", F.when(F.col("apart"), F.coalesce(f"_{c}", F.lit(1))).otherwise(F.col(f"{c}_parts")))
+    on = [*attributes, "meet", "old_part", "new_part"]
+    own = lambda c: F.pmod(F.xxhash64("cells", "uids"), f"{c}_parts")
+    each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{c}_parts") - 1))
+    olds = met.where("old").select(*attributes, "meet", own("olds").alias("old_part"), each("news").alias("new_part"), *[F.col(c).alias(f"old_{c}") for c in ("n", "cells", "uids")])
+    news = met.where("NOT old").select(*attributes, "meet", own("news").alias("new_part"), each("olds").alias("old_part"), *[F.col(c).alias(f"new_{c}") for c in ("n", "cells", "uids")])
+    # merged and not broadcast: a side is small in its files and large in the driver
+    pairs = olds.join(news.hint("merge"), on)
+    if min_score > 0:
+        first = F.get(F.array_intersect(*[_rarest(f"{side}_cells", f"{side}_n", min_score) for side in ("old", "new")]), F.lit(0))
+        near = (F.col("new_n") >= F.col("old_n") * min_score - 1e-9) & (F.col("old_n") >= F.col("new_n") * min_score - 1e-9)
+        pairs = pairs.where(near & ((F.col("meet") == "") | (first == F.col("meet"))))
+    # a row is made for the number that both have, so that it is counted once for the score and what follows from it
+    joined = pairs.withColumn("stats_equal", F.explode(F.array(F.size(F.array_intersect("old_cells", "new_cells")).cast("long"))))
     joined = joined.withColumn("stats_total", F.col("old_n") + F.col("new_n") - F.col("stats_equal"))
     score = F.when(F.col("stats_total") == 0, 1.0).otherwise(F.col("stats_equal") / F.col("stats_total"))
     evidence = json_text(**{a: F.col(a) for a in attributes}, stats_equal=F.col("stats_equal"), stats_total=F.col("stats_total"))
-    alike = joined.select("old_class", "new_class", score.alias("score"), evidence.alias("evidence")).where(F.col("score") >= min_score)
-    old, new = (items.where(w).select(F.col("class").alias(f"{side}_class"), F.col("uid").alias(f"{side}_uid")).distinct() for side, w in (("old", "old"), ("new", "NOT old")))
-    return alike.join(old, "old_class").join(new, "new_class").where("old_uid <> new_uid").select("old_uid", "new_uid", "score", "evidence")
+    alike = joined.withColumn("score", score).where(F.col("score") >= min_score).select("old_uids", "new_uids", "score", evidence.alias("evidence"))
+    members = alike.withColumn("old_uid", F.explode("old_uids")).withColumn("new_uid", F.explode("new_uids"))
+    return members.where("old_uid <> new_uid").select("old_uid", "new_uid", "score", "evidence")
+
+
+def _rarest(cells: str, n: str, min_score: float) -> Column:
+    """Of cells with the rarest first those that two items with the score share one of; the empty text stands for none at all."""
+    least = F.ceil(F.col(n) * F.lit(min_score) - F.lit(1e-9))
+    return F.when(F.col(n) == 0, F.array(F.lit(""))).otherwise(F.slice(cells, F.lit(1), F.greatest(F.col(n) - least + 1, F.lit(0)).cast("int")))
 
 
 def merge_frontier(known: DataFrame, found: DataFrame) -> DataFrame:
