@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import clean_text, conform, hash_id, iso_ts
-from millrace.models.build import Build, model
+from millrace.models.build import MEET, Build, model
 from millrace.operators import graph, lifecycle, naming
 from millrace.operators.selection import latest_by, with_distinct_count
 
@@ -82,7 +82,7 @@ def int_icon(b: Build) -> DataFrame:
 
 def newest_name(refs: DataFrame, order: list) -> DataFrame:
     """The newest name of each uid, with the number of different names it has."""
-    return latest_by(with_distinct_count(refs, ["uid"], "name", "name_variants"), ["uid"], order)
+    return latest_by(with_distinct_count(refs.hint(MEET), ["uid"], "name", "name_variants"), ["uid"], order)
 
 
 @model()

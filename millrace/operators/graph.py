@@ -15,6 +15,8 @@ from millrace.sources.files import shared_folder
 
 #: Links of the longest chain that is followed, and frontiers that are written apart.
 MAX_DEPTH, COMPACT = 1000, 8
+#: How the sides of a step meet: they grow with the links, and one that is broadcast lies whole in the driver.
+APART = "merge"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -35,17 +37,17 @@ def chains(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     edges = edges.select("kind", "from_uid", "to_uid").distinct()
     targets = edges.select("kind", F.col("to_uid").alias("uid")).distinct()
     nodes = edges.select("kind", F.col("from_uid").alias("uid")).union(targets).distinct()
-    frontier = nodes.join(targets, ["kind", "uid"], "left_anti").select("kind", "uid", F.col("uid").alias("chain_id"), F.lit(0).cast("long").alias("position"))
+    frontier = nodes.join(targets.hint(APART), ["kind", "uid"], "left_anti").select("kind", "uid", F.col("uid").alias("chain_id"), F.lit(0).cast("long").alias("position"))
     left = edges.withColumnRenamed("from_uid", "uid")
     frontier = checkpoint(frontier)
     frontiers = [frontier]
     for _ in range(max_depth):
-        walked = checkpoint(left.join(frontier, ["kind", "uid"], "left"))
+        walked = checkpoint(left.join(frontier.hint(APART), ["kind", "uid"], "left"))
         step = walked.where("chain_id IS NOT NULL").groupBy("kind", F.col("to_uid").alias("uid")).agg(F.min("chain_id").alias("chain_id"), (F.min("position") + 1).alias("position"))
         frontier = checkpoint(step)
         if frontier.isEmpty():
             return reduce(DataFrame.unionByName, frontiers)
-        left = walked.where("chain_id IS NULL").select("kind", "uid", "to_uid").join(frontier.select("kind", F.col("uid").alias("to_uid")), ["kind", "to_uid"], "left_anti")
+        left = walked.where("chain_id IS NULL").select("kind", "uid", "to_uid").join(frontier.select("kind", F.col("uid").alias("to_uid")).hint(APART), ["kind", "to_uid"], "left_anti")
         if len(frontiers) >= COMPACT:
             frontiers = [checkpoint(reduce(DataFrame.unionByName, frontiers))]
         frontiers.append(frontier)
@@ -59,7 +61,7 @@ def trimmed(edges: DataFrame) -> DataFrame:
     while n:
         ins = edges.select("kind", F.col("to_uid").alias("from_uid")).distinct()
         outs = edges.select("kind", F.col("from_uid").alias("to_uid")).distinct()
-        edges = checkpoint(edges.join(ins, ["kind", "from_uid"], "left_semi").join(outs, ["kind", "to_uid"], "left_semi").select("kind", "from_uid", "to_uid"))
+        edges = checkpoint(edges.join(ins.hint(APART), ["kind", "from_uid"], "left_semi").join(outs.hint(APART), ["kind", "to_uid"], "left_semi").select("kind", "from_uid", "to_uid"))
         n, before = edges.count(), n
         if n == before:
             break
@@ -78,25 +80,25 @@ def in_cycles(edges: DataFrame) -> DataFrame:
         ends = left.select("kind", F.col("from_uid").alias("uid")).union(left.select("kind", F.col("to_uid").alias("uid"))).distinct()
         colours = checkpoint(ends.withColumn("colour", F.col("uid")))
         while True:
-            came = left.join(colours.withColumnRenamed("uid", "from_uid"), ["kind", "from_uid"]).groupBy("kind", F.col("to_uid").alias("uid")).agg(F.max("colour").alias("came"))
-            moved = checkpoint(colours.join(came, ["kind", "uid"], "left").select("kind", "uid", F.greatest("colour", "came").alias("colour"), (F.col("came") > F.col("colour")).alias("moved")))
+            came = left.join(colours.withColumnRenamed("uid", "from_uid").hint(APART), ["kind", "from_uid"]).groupBy("kind", F.col("to_uid").alias("uid")).agg(F.max("colour").alias("came"))
+            moved = checkpoint(colours.join(came.hint(APART), ["kind", "uid"], "left").select("kind", "uid", F.greatest("colour", "came").alias("colour"), (F.col("came") > F.col("colour")).alias("moved")))
             colours = moved.drop("moved")
             if moved.where("moved").isEmpty():
                 break
-        one = left.join(colours.withColumnRenamed("uid", "from_uid"), ["kind", "from_uid"]).join(colours.select("kind", F.col("uid").alias("to_uid"), F.col("colour").alias("_colour")), ["kind", "to_uid"])
+        one = left.join(colours.withColumnRenamed("uid", "from_uid").hint(APART), ["kind", "from_uid"]).join(colours.select("kind", F.col("uid").alias("to_uid"), F.col("colour").alias("_colour")).hint(APART), ["kind", "to_uid"])
         inner = checkpoint(one.where("colour = _colour").select("kind", "from_uid", "to_uid"))
         reached = frontier = checkpoint(colours.where("uid = colour").select("kind", "uid"))
         while True:
-            back = frontier.join(inner.withColumnRenamed("to_uid", "uid"), ["kind", "uid"]).select("kind", F.col("from_uid").alias("uid")).distinct()
-            frontier = checkpoint(back.join(reached, ["kind", "uid"], "left_anti"))
+            back = frontier.join(inner.withColumnRenamed("to_uid", "uid").hint(APART), ["kind", "uid"]).select("kind", F.col("from_uid").alias("uid")).distinct()
+            frontier = checkpoint(back.join(reached.hint(APART), ["kind", "uid"], "left_anti"))
             if frontier.isEmpty():
                 break
             reached = checkpoint(reached.union(frontier))
         heads, tails = reached.withColumnRenamed("uid", "from_uid"), reached.withColumnRenamed("uid", "to_uid")
         # a component of one key is a cycle only if the key is linked with itself
-        inside = inner.join(heads, ["kind", "from_uid"], "left_semi").join(tails, ["kind", "to_uid"], "left_semi")
+        inside = inner.join(heads.hint(APART), ["kind", "from_uid"], "left_semi").join(tails.hint(APART), ["kind", "to_uid"], "left_semi")
         found = found.union(inside.select("kind", "from_uid")).union(inside.select("kind", "to_uid"))
-        left = trimmed(left.join(heads, ["kind", "from_uid"], "left_anti").join(tails, ["kind", "to_uid"], "left_anti"))
+        left = trimmed(left.join(heads.hint(APART), ["kind", "from_uid"], "left_anti").join(tails.hint(APART), ["kind", "to_uid"], "left_anti"))
     return found.distinct()
 
 

@@ -82,9 +82,10 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def facts(df: DataFrame) -> DataFrame:
-    """A table of groups, written; broadcast where it has SMALL_ROWS at most, so that what it is joined with stays where it is."""
+    """A table of groups, written; broadcast where it has SMALL_ROWS at most, so that what it is joined with stays where it is,
+    and larger ones are never the driver's."""
     made = written(df)
-    return F.broadcast(made) if made.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else made
+    return F.broadcast(made) if made.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else made.hint("merge")
 
 
 def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attributes: list[str], min_score: float) -> DataFrame:
@@ -110,13 +111,13 @@ def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attribut
     # the cells of one item lie in one row, as its stats are few; rare ones come first
     held = told.join(frequency, "cell").groupBy("uid").agg(F.sort_array(F.collect_set(F.struct("held", "cell")))["cell"].alias("cells"))
     there = reduce(and_, [F.col(c).isNotNull() for c in ("uid", *attributes)])
-    items = both.where(there).join(held, "uid", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
+    items = both.where(there).join(held.hint("merge"), "uid", "left").withColumn("cells", F.coalesce("cells", F.array().cast("array<string>")))
     kind = [*attributes, "cells", "old"]
     # two classes with one hash are cut in more rows than they need, and stay two
     items = items.withColumn("class", F.xxhash64(*kind))
     many = items.groupBy("class").agg(F.ceil(F.count("*") / MEMBERS).alias("rows")).where("rows > 1")
     part = F.coalesce(F.pmod(F.xxhash64("uid"), "rows"), F.lit(0))
-    n, rows = F.size("cells").cast("long"), items.join(many, "class", "left").groupBy(*kind, part.alias("part"))
+    n, rows = F.size("cells").cast("long"), items.join(many.hint("merge"), "class", "left").groupBy(*kind, part.alias("part"))
     classes = written(rows.agg(F.sort_array(F.collect_set("uid")).alias("uids")).withColumn("n", n).drop("part"))
 
     sides = [F.count_if(F.col("old")).alias("olds"), F.count_if(~F.col("old")).alias("news")]
@@ -129,7 +130,7 @@ def replacements(retired: DataFrame, live: DataFrame, stats: DataFrame, attribut
         meetings = F.col("olds").cast("double") * F.col("news")
         sums = by_cell.groupBy(*attributes).agg(F.sum(meetings).alias("_by_cell"))
         # both in one pass over small groups: whether they meet apart, by cells, and in how many parts
-        ways = facts(groups.join(sums, attributes).select(*attributes, (F.col("_by_cell") < meetings).alias("apart"), *parts))
+        ways = facts(groups.join(sums.hint("merge"), attributes).select(*attributes, (F.col("_by_cell") < meetings).alias("apart"), *parts))
         large = by_cell.where((F.col("olds") > TILE) | (F.col("news") > TILE)).select(*attributes, "meet", *[p.alias(f"_{c}") for p, c in zip(parts, ("olds", "news"), strict=True)])
         meet = F.explode(F.when(F.col("apart"), _rarest("cells", "n", min_score)).otherwise(F.array(F.lit(""))))
         met = classes.join(ways, attributes).withColumn("meet", meet).join(facts(large), [*attributes, "meet"], "left")
